@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def bucketize(value: Column, bounds: Sequence[float], labels: Sequence[str]) -> Column:
@@ -34,19 +35,19 @@ def sentiment_category(score: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
-def sentiment_category_udf(score: pd.Series) -> pd.Series:
-    """The same label from Python, one Arrow batch at a time.
+def sentiment_category_python(score: Column) -> Column:
+    """``sentiment_category`` from Python, one Arrow batch at a time; NULL in, NULL out.
 
-    Arrow hands NULL over as NaN, so a score that may be NULL or NaN needs
-    ``sentiment_category_python``, which keeps the two apart.
+    The function is defined in here so that it travels to the workers by value:
+    they need pandas, not this package.
     """
-    label = pd.Series("neutral", index=score.index, dtype=object)
-    label[score > 0] = "positive"
-    label[score < 0] = "negative"
-    return label
 
+    def label(numbers: pd.Series) -> pd.Series:
+        labels = pd.Series("neutral", index=numbers.index, dtype=object)
+        labels[numbers > 0] = "positive"
+        labels[numbers < 0] = "negative"
+        return labels
 
-def sentiment_category_python(score: Column) -> Column:
-    """``sentiment_category`` by way of the Python function, NULL in and NULL out."""
-    return F.when(score.isNotNull(), sentiment_category_udf(score.cast("double")))
+    # Arrow hands NULL over as NaN, so which of the two it was is settled outside.
+    labelled = F.pandas_udf(label, StringType())(score.cast("double"))
+    return F.when(score.isNotNull(), labelled)
