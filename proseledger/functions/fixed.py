@@ -13,9 +13,9 @@ ERROR_CODE = r"(?:ERR|Error)[\s:-]*([A-Z]{2,4}-?\d{3,5})"
 # --- Fixed value: replacement for a card number (the last four digits are not kept) ---
 CARD_MASK = "XXXX-XXXX-XXXX-####"
 
-# --- Fixed values: sentiment words, case-sensitive, and the patterns that find them ---
-POSITIVE = r"\b(great|good|excellent|amazing|best)\b"
-NEGATIVE = r"\b(bad|poor|terrible|awful|worst)\b"
+# --- Fixed values: sentiment words, whole and case-sensitive ---
+POSITIVE_WORDS = ("great", "good", "excellent", "amazing", "best")
+NEGATIVE_WORDS = ("bad", "poor", "terrible", "awful", "worst")
 
 # --- Fixed value: what separates sentences ---
 SENTENCE_END = r"[.!?]+"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +12,8 @@ from . import fixed
 
 
 def word_count(text: Column) -> Column:
-    """Pieces of a split on single spaces: runs of spaces add empty words, '' has one.
-
-    That is the number of spaces plus one, so no array of words is built.
-    """
-    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return spaces + 1
+    """Pieces of a split on single spaces: runs of spaces add empty words, '' has one."""
+    return F.size(F.split(text, " "))
 
 
 def sentence_count(text: Column) -> Column:
@@ -22,14 +21,27 @@ def sentence_count(text: Column) -> Column:
     return F.size(F.split(text, fixed.SENTENCE_END))
 
 
+def contains_any(text: Column, literals: Sequence[str]) -> Column:
+    """Whether any of the literals occurs, found without a regular expression."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in literals])
+
+
+def has_word(text: Column, words: Sequence[str]) -> Column:
+    """1 where one of the words occurs as a whole word, else 0 (also for NULL text).
+
+    Most texts hold none of them even as part of a word, which a substring search
+    tells much sooner; only the rest are matched.
+    """
+    whole = text.rlike(rf"\b({'|'.join(words)})\b")
+    return F.when(contains_any(text, words) & whole, 1).otherwise(0)
+
+
 def has_positive(text: Column) -> Column:
-    """1 where a positive word occurs, else 0 (also for NULL text)."""
-    return F.when(text.rlike(fixed.POSITIVE), 1).otherwise(0)
+    return has_word(text, fixed.POSITIVE_WORDS)
 
 
 def has_negative(text: Column) -> Column:
-    """1 where a negative word occurs, else 0 (also for NULL text)."""
-    return F.when(text.rlike(fixed.NEGATIVE), 1).otherwise(0)
+    return has_word(text, fixed.NEGATIVE_WORDS)
 
 
 def text_features(df: DataFrame, text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -79,9 +79,10 @@ def five_aggregates(df: DataFrame, text: str = "text", k: int = 10) -> DataFrame
     commonest lengths (ties by value), and rows per length category.
 
     The texts are read and matched once, down to one row per distinct (length,
-    word count, flag). All five start from that same shuffle.
+    word count, flag); each of these then counts towards all five.
     """
     column = F.col(text)
+    n, length = F.col("n"), F.col("review_length")
     cells = (
         df.select(
             F.length(column).alias("review_length"),
@@ -91,31 +92,42 @@ def five_aggregates(df: DataFrame, text: str = "text", k: int = 10) -> DataFrame
         .groupBy("review_length", "word_count", "has_positive")
         .agg(F.count("*").alias("n"))
     )
-    length, rows = F.col("review_length"), F.sum("n")
-
-    def commonest(name: str) -> DataFrame:
-        counted = cells.groupBy(name).agg(rows.alias("n"))
-        top = counted.orderBy(F.desc("n"), F.asc(name)).limit(k)
-        return top.select(F.col(name).cast("string").alias("key"), "n")
-
-    known = F.sum(F.when(length.isNotNull(), F.col("n")))
-    mean = F.try_divide(F.sum(length * F.col("n")), known)
-    positive = F.sum(F.col("n") * F.col("has_positive"))
-    category = bucketize(length, *fixed.LENGTH_3)
-    parts = {
-        "avg_length": cells.select(mean.alias("v"), F.lit(None).cast("string").alias("key")),
-        "positive_count": cells.select(
-            F.coalesce(positive, F.lit(0)).alias("v"), F.lit(None).cast("string").alias("key")
-        ),
-        "word_count": commonest("word_count").withColumnRenamed("n", "v"),
-        "review_length": commonest("review_length").withColumnRenamed("n", "v"),
-        "length_category": cells.groupBy(category.alias("key")).agg(rows.alias("v")),
-    }
-    rows_of = [
-        part.select(F.lit(metric).alias("metric"), "key", F.col("v").cast("double").alias("value"))
-        for metric, part in parts.items()
-    ]
-    first, *others = rows_of
-    for part in others:
-        first = first.unionByName(part)
-    return first
+    bounds, labels = fixed.LENGTH_3
+
+    def towards(metric: str, number: Column | None = None, label: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            (F.lit(None) if number is None else number).cast("long").alias("number"),
+            (F.lit(None) if label is None else label).cast("string").alias("label"),
+        )
+
+    shares = F.array(
+        towards("avg_length"),
+        towards("positive_count"),
+        towards("word_count", number=F.col("word_count")),
+        towards("review_length", number=length),
+        towards("length_category", label=bucketize(length, bounds, labels)),
+    )
+    counted = (
+        cells.select(F.inline(shares), n, length, "has_positive")
+        .groupBy("metric", "number", "label")
+        .agg(
+            F.sum(n).alias("n"),
+            F.sum(n * F.col("has_positive")).alias("positive"),
+            F.sum(n * length).alias("characters"),
+            F.sum(F.when(length.isNotNull(), n)).alias("known"),
+        )
+    )
+    commonest_first = Window.partitionBy("metric").orderBy(F.desc("n"), F.asc("number"))
+    metric, place = F.col("metric"), F.row_number().over(commonest_first)
+    # No metric but the two top lists has more rows than there are categories, NULL included.
+    kept = counted.withColumn("place", place).where(F.col("place") <= max(k, len(labels) + 1))
+    kept = kept.where((F.col("place") <= k) | ~metric.isin("word_count", "review_length"))
+    value = (
+        F.when(metric == "avg_length", F.try_divide("characters", "known"))
+        .when(metric == "positive_count", F.col("positive").cast("double"))
+        .otherwise(n.cast("double"))
+    )
+    return kept.select(
+        "metric", F.coalesce("label", F.col("number").cast("string")).alias("key"), value.alias("value")
+    )

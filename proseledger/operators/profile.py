@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import reused, store
 from .quantiles import QUANTILES, quantiles
 from .skew import MAX_GROUP_ROWS
 
@@ -51,17 +53,21 @@ def profile(
     columns: Sequence[str],
     accuracy: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    persist: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> DataFrame:
     """The full profile per column.
 
     ``basic_summary`` plus skewness and excess kurtosis (population), NULL and
     non-NULL rows, quantiles, range, interquartile range and coefficient of
-    variation in percent (0 for a mean of 0). Two scans: one for the moments,
-    one for the quantiles.
+    variation in percent (0 for a mean of 0).
+
+    Moments and quantiles each scan the columns. ``persist`` is how the columns
+    are kept in between; None suits a table that holds them ready to be read.
     """
-    moments = _moments(df, columns, {**MOMENTS, **SHAPE})
-    at = quantiles(df, columns, QUANTILES, accuracy, max_group_rows)
-    # Both sides have one row per profiled column.
+    with reused(df.select(*columns), persist) as numbers:
+        # Both tables have one row per profiled column.
+        moments = store(_moments(numbers, columns, {**MOMENTS, **SHAPE}), "moments")
+        at = store(quantiles(numbers, columns, QUANTILES, accuracy, max_group_rows), "quantiles")
     both = moments.join(F.broadcast(at), "column", "left")
     variation = F.when(F.col("mean") == 0, 0.0).otherwise(F.try_divide("stddev", "mean") * 100)
     return both.select(

@@ -34,7 +34,8 @@ def window_report(
     df = windows.running_sum(
         df, [roles.id, roles.group], order, amount, max_group_rows=max_group_rows
     )
-    df = windows.moving_avg(df, [roles.id], order, amount, max_group_rows=max_group_rows)
-    df = windows.prev_next(df, [roles.id], order, amount, max_group_rows=max_group_rows)
+    df = windows.moving_avg_and_neighbours(
+        df, [roles.id], order, amount, max_group_rows=max_group_rows
+    )
     df = windows.ranks(df, [roles.group], amount, [tiebreak], max_group_rows)
     return share_of_total(df, roles.group, amount)

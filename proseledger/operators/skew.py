@@ -7,7 +7,7 @@ large groups are range-partitioned by (group, order) into chunks of bounded
 size, each chunk is worked on by itself, and what a chunk must know of those
 before it comes from a table with one row per (group, chunk).
 
-Bounds: at most ``rows / max_group_rows`` groups are large, and as chunks are
+Bounds: at most ``MAX_BROADCAST_ROWS`` groups count as large, and as chunks are
 contiguous in (group, order), there are at most large groups + chunks pairs of
 group and chunk. Both tables are small by that count and may be broadcast.
 """
@@ -17,18 +17,36 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import store
 
+# A group up to this size is left to one task: about 100 MB of narrow rows.
 MAX_GROUP_ROWS = 1_000_000
-MAX_BROADCAST_ROWS = 500_000
+# A table of groups up to this size may be broadcast: tens of MB.
+MAX_BROADCAST_ROWS = 100_000
+# Chunks of all large groups together; with more rows the chunks get larger.
 MAX_CHUNKS = 10_000
 CHUNK = "_chunk"
 
 
+class Large(NamedTuple):
+    """The groups that are too large, how many they are and how many rows they hold."""
+
+    groups: DataFrame
+    count: int
+    rows: int
+    chunks: int
+
+    @property
+    def parts(self) -> int:
+        """No more pairs of (group, chunk) than this have rows."""
+        return self.count + self.chunks
+
+
 def join_on_groups(
     rows: DataFrame,
     table: DataFrame,
@@ -44,22 +62,25 @@ def join_on_groups(
     return joined.drop(*other.values())
 
 
-def large_groups(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int
-) -> tuple[DataFrame, int] | None:
-    """Groups with more rows than the limit and the rows they hold; None if there are none.
+def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Large | None:
+    """Groups with more rows than the limit; None if there are none.
 
     The limit rises, where it must, to the size that at most
     ``MAX_BROADCAST_ROWS`` groups can exceed.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    large = sizes.where(F.col("_rows") > max_group_rows)
-    groups, rows = large.agg(F.count("*"), F.sum("_rows")).first()
-    if groups == 0:
-        return None
-    if groups > MAX_BROADCAST_ROWS:
-        large = large.where(F.col("_rows") > rows // MAX_BROADCAST_ROWS)
-    return store(large.select(*keys), "large_groups"), rows
+    limit = max_group_rows
+    while True:
+        large = sizes.where(F.col("_rows") > limit)
+        count, rows = large.agg(F.count("*"), F.sum("_rows")).first()
+        if count == 0:
+            return None
+        if count <= MAX_BROADCAST_ROWS:
+            break
+        # Fewer than the allowed number of groups can be above their mean share.
+        limit = rows // MAX_BROADCAST_ROWS
+    chunks = min(MAX_CHUNKS, max(2, ceil(rows / max_group_rows)))
+    return Large(store(large.select(*keys), "large_groups"), count, rows, chunks)
 
 
 def by_group_size(
@@ -67,17 +88,19 @@ def by_group_size(
     keys: Sequence[str],
     max_group_rows: int,
     small: Callable[[DataFrame], DataFrame],
-    large: Callable[[DataFrame, int], DataFrame],
+    large: Callable[[DataFrame, Large], DataFrame],
 ) -> DataFrame:
-    """``small`` on the rows of small groups, ``large`` (with a number of chunks) on the rest."""
+    """``small`` on the rows of small groups and ``large`` on the rows of large ones.
+
+    The table is read once to count and, if there are large groups, once for
+    either kind: store it first if it is dear to compute, or not the same each time.
+    """
     found = large_groups(df, keys, max_group_rows)
     if found is None:
         return small(df)
-    groups, rows = found
-    chunks = min(MAX_CHUNKS, max(2, ceil(rows / max_group_rows)))
-    rest = join_on_groups(df, groups, keys, "left_anti", broadcast=True)
-    heavy = join_on_groups(df, groups, keys, "left_semi", broadcast=True)
-    return small(rest).unionByName(large(heavy, chunks))
+    rest = join_on_groups(df, found.groups, keys, "left_anti", broadcast=True)
+    heavy = join_on_groups(df, found.groups, keys, "left_semi", broadcast=True)
+    return small(rest).unionByName(large(heavy, found))
 
 
 def in_chunks(

@@ -12,7 +12,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..sources.shared import store
-from .skew import CHUNK, MAX_GROUP_ROWS, by_group_size, in_chunks, join_on_groups
+from .skew import (
+    CHUNK,
+    MAX_BROADCAST_ROWS,
+    MAX_GROUP_ROWS,
+    Large,
+    by_group_size,
+    in_chunks,
+    join_on_groups,
+)
 
 BEFORE = Window.unboundedPreceding
 
@@ -39,8 +47,8 @@ def running_sum(
     def small(rows: DataFrame) -> DataFrame:
         return rows.withColumn(name, upto_here(*keys))
 
-    def large(rows: DataFrame, chunks: int) -> DataFrame:
-        chunked = in_chunks(rows, keys, order, chunks)
+    def large(rows: DataFrame, found: Large) -> DataFrame:
+        chunked = in_chunks(rows, keys, order, found.chunks)
         chunked = store(chunked.withColumn("_here", upto_here(CHUNK, *keys)), "running_sum")
         earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(BEFORE, -1)
         carried = chunked.groupBy(*keys, CHUNK).agg(F.sum(value).alias("_sum"))
@@ -75,11 +83,11 @@ def near_rows(
     def small(rows: DataFrame) -> DataFrame:
         return rows.withColumns(outputs(Window.partitionBy(*keys).orderBy(*order)))
 
-    def large(rows: DataFrame, chunks: int) -> DataFrame:
+    def large(rows: DataFrame, found: Large) -> DataFrame:
         whole = Window.partitionBy(CHUNK, *keys)
         window = whole.orderBy(*order)
         names = list(outputs(window))
-        chunked = in_chunks(rows, keys, order, chunks).withColumns(
+        chunked = in_chunks(rows, keys, order, found.chunks).withColumns(
             {
                 **outputs(window),
                 "_place": F.row_number().over(window),
@@ -97,13 +105,33 @@ def near_rows(
         ends = ends.select(
             *keys, CHUNK, "_place", F.struct(*[c.alias(n) for n, c in across.items()]).alias("_at_end")
         )
-        joined = join_on_groups(chunked, ends, [*keys, CHUNK, "_place"], "left", broadcast=True)
+        is_small = 4 * reach * found.parts <= 10 * MAX_BROADCAST_ROWS
+        joined = join_on_groups(chunked, ends, [*keys, CHUNK, "_place"], "left", is_small)
         chosen = {n: F.when(near_end(reach), F.col(f"_at_end.{n}")).otherwise(F.col(n)) for n in names}
         return joined.withColumns(chosen).drop(CHUNK, "_place", "_size", "_at_end")
 
     return by_group_size(df, keys, max_group_rows, small, large)
 
 
+def _mean_of_last(value: str, n: int, name: str) -> Callable[[WindowSpec], dict[str, Column]]:
+    return lambda window: {
+        name: F.avg(value).over(window.rowsBetween(1 - n, Window.currentRow))
+    }
+
+
+def _neighbours(value: str) -> Callable[[WindowSpec], dict[str, Column]]:
+    return lambda window: {
+        f"prev_{value}": F.lag(value, 1).over(window),
+        f"next_{value}": F.lead(value, 1).over(window),
+    }
+
+
+def _with_change(df: DataFrame, value: str) -> DataFrame:
+    before = F.col(f"prev_{value}")
+    change = F.when(before.isNull(), 0.0).otherwise(F.col(value) - before)
+    return df.withColumn(f"{value}_change", change)
+
+
 def moving_avg(
     df: DataFrame,
     keys: Sequence[str],
@@ -114,11 +142,7 @@ def moving_avg(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Mean of ``value`` over this row and the n - 1 before it, fewer at the start."""
-    name = name or f"moving_avg_{n}"
-
-    def outputs(window: WindowSpec) -> dict[str, Column]:
-        return {name: F.avg(value).over(window.rowsBetween(1 - n, Window.currentRow))}
-
+    outputs = _mean_of_last(value, n, name or f"moving_avg_{n}")
     return near_rows(df, keys, order, [value], n - 1, outputs, max_group_rows)
 
 
@@ -133,17 +157,26 @@ def prev_next(
 
     The change is 0 where there is no value before.
     """
+    near = near_rows(df, keys, order, [value], 1, _neighbours(value), max_group_rows)
+    return _with_change(near, value)
+
+
+def moving_avg_and_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    value: str,
+    n: int = 3,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``moving_avg`` and ``prev_next`` over the same windows, in one go."""
+    mean, neighbours = _mean_of_last(value, n, f"moving_avg_{n}"), _neighbours(value)
 
     def outputs(window: WindowSpec) -> dict[str, Column]:
-        return {
-            f"prev_{value}": F.lag(value, 1).over(window),
-            f"next_{value}": F.lead(value, 1).over(window),
-        }
+        return {**mean(window), **neighbours(window)}
 
-    before = F.col(f"prev_{value}")
-    change = F.when(before.isNull(), 0.0).otherwise(F.col(value) - before)
-    with_neighbours = near_rows(df, keys, order, [value], 1, outputs, max_group_rows)
-    return with_neighbours.withColumn(f"{value}_change", change)
+    near = near_rows(df, keys, order, [value], max(n - 1, 1), outputs, max_group_rows)
+    return _with_change(near, value)
 
 
 def ranks(
@@ -169,11 +202,11 @@ def ranks(
             }
         )
 
-    def large(rows: DataFrame, chunks: int) -> DataFrame:
+    def large(rows: DataFrame, found: Large) -> DataFrame:
         order = [highest, *columns(tiebreak)]
         window = Window.partitionBy(CHUNK, *group).orderBy(*order)
         by_value = Window.partitionBy(CHUNK, *group).orderBy(highest)
-        chunked = in_chunks(rows, group, order, chunks).withColumns(
+        chunked = in_chunks(rows, group, order, found.chunks).withColumns(
             {
                 "_place": F.row_number().over(window),
                 "_rank": F.rank().over(by_value),

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
-from contextlib import contextmanager, redirect_stdout
+from contextlib import redirect_stdout
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
@@ -21,15 +19,3 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     with redirect_stdout(printed):
         df.explain(mode)
     return printed.getvalue()
-
-
-@contextmanager
-def reused(
-    df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK
-) -> Iterator[DataFrame]:
-    """Keep a table that several actions read, for as long as the block lasts."""
-    kept = df.persist(level)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()

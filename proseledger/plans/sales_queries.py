@@ -94,7 +94,7 @@ def run_tied_ranks(spark, folder):
     df = orders(spark, folder).select(
         "o_orderkey", "o_orderstatus", F.floor(F.col("o_totalprice") / 20000).alias("step")
     )
-    return windows.ranks(df, ["o_orderstatus"], "step", ["o_orderkey"], max_group_rows=300)
+    return windows.ranks(df, ["o_orderstatus"], "step", ["o_orderkey"], max_group_rows=1000)
 
 
 def run_top_by_customer(spark, folder):
@@ -246,19 +246,19 @@ QUERIES = {
         running_sum_sql("o_custkey, o_orderpriority"),
     ),
     "running_sum_large_groups": Query(
-        run_running_sum(["o_orderpriority"], max_group_rows=500),
+        run_running_sum(["o_orderpriority"], max_group_rows=1000),
         running_sum_sql("o_orderpriority"),
     ),
     "moving_avg_3": Query(run_moving_avg("o_custkey"), moving_avg_sql("o_custkey")),
     "moving_avg_3_large_groups": Query(
-        run_moving_avg("o_orderstatus", max_group_rows=500), moving_avg_sql("o_orderstatus")
+        run_moving_avg("o_orderstatus", max_group_rows=1000), moving_avg_sql("o_orderstatus")
     ),
     "lag_lead_change": Query(run_prev_next("o_custkey"), prev_next_sql("o_custkey")),
     "lag_lead_change_large_groups": Query(
-        run_prev_next("o_orderpriority", max_group_rows=500), prev_next_sql("o_orderpriority")
+        run_prev_next("o_orderpriority", max_group_rows=1000), prev_next_sql("o_orderpriority")
     ),
     "rank_in_group": Query(run_ranks(), RANKS_SQL),
-    "rank_in_group_large_groups": Query(run_ranks(max_group_rows=500), RANKS_SQL),
+    "rank_in_group_large_groups": Query(run_ranks(max_group_rows=1000), RANKS_SQL),
     "rank_with_ties_large_groups": Query(
         run_tied_ranks,
         """SELECT o_orderkey, o_orderstatus, step, CAST(rank() OVER w AS BIGINT) AS rank_in_group,

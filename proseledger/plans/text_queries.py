@@ -22,8 +22,8 @@ FEATURES = [
 # Java counts accented letters as word characters, so its \b does not see a
 # boundary next to one. DuckDB's \b is ASCII; this spells the Java rule out.
 _EDGE = r"[^\p{L}\p{N}_]"
-POSITIVE_SQL = rf"(^|{_EDGE})(great|good|excellent|amazing|best)($|{_EDGE})"
-NEGATIVE_SQL = rf"(^|{_EDGE})(bad|poor|terrible|awful|worst)($|{_EDGE})"
+POSITIVE_SQL = rf"(^|{_EDGE})({'|'.join(fixed.POSITIVE_WORDS)})($|{_EDGE})"
+NEGATIVE_SQL = rf"(^|{_EDGE})({'|'.join(fixed.NEGATIVE_WORDS)})($|{_EDGE})"
 
 
 def features_sql(source: str, key: str) -> str:

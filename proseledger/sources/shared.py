@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,3 +43,22 @@ def store(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def reused(
+    df: DataFrame, level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK
+) -> Iterator[DataFrame]:
+    """Keep a table that several actions read, for as long as the block lasts.
+
+    Results that outlive the block must be stored in it. With no level the table
+    is computed anew by each action.
+    """
+    if level is None:
+        yield df
+        return
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
