@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# What makes a CSV file give back exactly the strings that went in. Spark's
-# defaults trim blanks on writing and escape quotes in a way of their own.
+# What makes a CSV file give back the strings that went in: Spark's defaults trim
+# blanks on writing and escape quotes in a way of their own. An empty string still
+# comes back as NULL, since an empty field stands for both.
 CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
