@@ -89,35 +89,51 @@ def quantile_edges(
     return wide.select(F.inline(F.array(*edges)))
 
 
-def quantile_histogram(
-    df: DataFrame, column: str, buckets: int = 10, max_group_rows: int = MAX_GROUP_ROWS
+def quantile_histograms(
+    df: DataFrame,
+    columns: Sequence[str],
+    buckets: int = 10,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Rows per quantile bucket [low, high) with their share in percent, empty buckets too.
+    """Rows per column and quantile bucket [low, high), and their share in percent.
 
     The last bucket includes its upper edge, so the greatest value is counted.
-    Between equal edges there is nothing to count. The rows come from the counts
-    of distinct values, so the table is scanned once for edges and counts alike.
+    Between equal edges there is nothing to count, and such buckets are listed
+    with 0. The rows come from the counts of distinct values, so the table is
+    scanned once for all columns, for edges and counts alike.
     """
-    counts = store(cumulative_counts(df, [column], max_group_rows), "cumulative_counts")
-    edges = counts.agg(
+    counts = store(cumulative_counts(df, columns, max_group_rows), "cumulative_counts")
+    edges = counts.groupBy("column").agg(
         F.array(*[_first_reaching(i / buckets) for i in range(buckets + 1)]).alias("edges")
     )
-    edge_values = edges.scalar()
-    position = F.size(F.filter(F.slice("edges", 1, buckets), lambda e: e <= F.col("value")))
+    # What is broadcast here has one row per column, or per column and bucket.
+    lower = F.slice("edges", 1, buckets)
+    position = F.size(F.filter(lower, lambda edge: edge <= F.col("value")))
     filled = (
-        counts.withColumn("edges", edge_values)
-        .groupBy(position.alias("bucket"))
+        counts.join(F.broadcast(edges), "column")
+        .groupBy("column", position.alias("bucket"))
         .agg(F.sum("n").alias("count"), F.max("total").alias("total"))
     )
-    bounds = edges.select(F.posexplode(F.slice("edges", 1, buckets)).alias("i", "low"), "edges")
+    bounds = edges.select("column", "edges", F.posexplode(lower).alias("i", "low"))
     bounds = bounds.select(
-        (F.col("i") + 1).alias("bucket"), "low", F.col("edges")[F.col("i") + 1].alias("high")
+        "column",
+        (F.col("i") + 1).alias("bucket"),
+        "low",
+        F.col("edges")[F.col("i") + 1].alias("high"),
     )
-    # At most one row per bucket on either side.
-    return bounds.join(F.broadcast(filled), "bucket", "left").select(
+    share = F.try_divide(F.col("count") * 100, F.col("total"))
+    return bounds.join(F.broadcast(filled), ["column", "bucket"], "left").select(
+        "column",
         "bucket",
         "low",
         "high",
         F.coalesce("count", F.lit(0)).alias("count"),
-        F.coalesce(F.try_divide(F.col("count") * 100, F.col("total")), F.lit(0.0)).alias("percent"),
+        F.coalesce(share, F.lit(0.0)).alias("percent"),
     )
+
+
+def quantile_histogram(
+    df: DataFrame, column: str, buckets: int = 10, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """``quantile_histograms`` of one column."""
+    return quantile_histograms(df, [column], buckets, max_group_rows).drop("column")

@@ -19,3 +19,10 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     with redirect_stdout(printed):
         df.explain(mode)
     return printed.getvalue()
+
+
+def write_plan(df: DataFrame, path: str, mode: str = "extended") -> None:
+    """The plan as a text file, line by line."""
+    lines = [(line,) for line in plan_text(df, mode).splitlines()]
+    one_file = df.sparkSession.createDataFrame(lines, "value string").coalesce(1)
+    one_file.write.mode("overwrite").text(path)

@@ -221,8 +221,9 @@ def run_date_parts(spark, folder):
             "o_orderkey",
             "written",
             parsed.alias("day"),
-            F.month(parsed).alias("month"),
-            F.year(parsed).alias("year"),
+            # As fractions: whole numbers and NULLs together are read back differently.
+            F.month(parsed).cast("double").alias("month"),
+            F.year(parsed).cast("double").alias("year"),
             F.date_add(F.lit("2024-01-01").cast("date"), (key % 365).cast("int")).alias("review_date"),
             F.concat(F.lit("user_"), (key % 100 + 1).cast("string")).alias("user_id"),
         )
@@ -231,7 +232,7 @@ def run_date_parts(spark, folder):
 
 DATE_PARTS_SQL = """
     SELECT o_orderkey, written, strftime(d, '%Y-%m-%d') AS day,
-           CAST(month(d) AS BIGINT) AS month, CAST(year(d) AS BIGINT) AS year,
+           CAST(month(d) AS DOUBLE) AS month, CAST(year(d) AS DOUBLE) AS year,
            strftime(DATE '2024-01-01' + CAST(o_orderkey % 365 AS INTEGER), '%Y-%m-%d')
                AS review_date,
            'user_' || CAST(o_orderkey % 100 + 1 AS VARCHAR) AS user_id

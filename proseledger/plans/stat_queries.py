@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from ..operators.correlation import correlations
 from ..operators.frequency import frequency_distribution, mode_of
 from ..operators.profile import basic_summary, mixed_stats, profile, profile_highlights
 from ..operators.quantiles import QUANTILES, quantile_edges, quantile_histogram, quantiles
-from ..sources.shared import reused, store
+from ..operators.report import write_profile_report
+from ..sources.shared import new_path, reused, store
 from .query import Query, comparable, table
 from .text_queries import DOCUMENT_FEATURES_SQL
 
@@ -85,9 +87,8 @@ def _column_sql(column: str, with_shape: bool) -> str:
 SUMMARY_SQL = f"WITH r AS ({RATED_SQL}) " + " UNION ALL ".join(
     _column_sql(c, False) for c in NUMBERS
 )
-PROFILE_SQL = f"WITH r AS MATERIALIZED ({RATED_SQL}) " + " UNION ALL ".join(
-    _column_sql(c, True) for c in NUMBERS
-)
+PROFILE_BODY_SQL = " UNION ALL ".join(_column_sql(c, True) for c in NUMBERS)
+PROFILE_SQL = f"WITH r AS MATERIALIZED ({RATED_SQL}) {PROFILE_BODY_SQL}"
 
 
 def _corr_sql(a: str, b: str) -> str:
@@ -170,6 +171,37 @@ HIGHLIGHTS_SQL = f"""
                FROM r GROUP BY review_length_category ORDER BY count(*) DESC, 2 LIMIT 1)"""
 
 
+def run_report(spark, folder):
+    """The whole report, written and read back: how many rows each table of it has."""
+    path = new_path(spark, "report")
+    write_profile_report(rated_documents(spark, folder), NUMBERS, CATEGORIES, path)
+    tables = ["profile", "correlations", "histograms", "frequencies", "highlights"]
+    rows = [
+        spark.read.json(f"{path}/{name}").agg(
+            F.lit(name).alias("report"), F.count("*").alias("report_rows")
+        )
+        for name in tables
+    ]
+    summary = spark.read.text(f"{path}/summary").select(
+        F.col("value").alias("report"), F.lit(1).cast("bigint").alias("report_rows")
+    )
+    return reduce(DataFrame.unionByName, rows).unionByName(summary)
+
+
+# Text made from fractions: the two engines round alike but for exact halves.
+REPORT_SQL = f"""
+    WITH r AS MATERIALIZED ({RATED_SQL}),
+    p AS ({PROFILE_BODY_SQL})
+    SELECT 'profile' AS report, count(*) AS report_rows FROM p
+    UNION ALL SELECT 'correlations', {len(NUMBERS) * (len(NUMBERS) + 1) // 2}
+    UNION ALL SELECT 'histograms', {10 * len(NUMBERS)}
+    UNION ALL SELECT 'frequencies', least(5, count(DISTINCT review_length_category))
+                     + least(5, count(DISTINCT rating_category)) FROM r
+    UNION ALL SELECT 'highlights', 4
+    UNION ALL SELECT format('{{}}: mean {{:.2f}}, std dev {{:.2f}}, skewness {{:.3f}}, IQR {{:.2f}}',
+                            upper("column"), mean, stddev, skewness, iqr), 1 FROM p"""
+
+
 def run_histogram(spark, folder):
     lengths = table(spark, folder, "documents").select(F.length("text").alias("review_length"))
     return comparable(quantile_histogram(lengths, "review_length"))
@@ -288,4 +320,5 @@ QUERIES = {
     "quantile_histogram": Query(run_histogram, HISTOGRAM_SQL),
     "quantiles_large_groups": Query(run_quantiles_chunked, QUANTILES_CHUNKED_SQL),
     "mixed_stats": Query(run_mixed, MIXED_SQL),
+    "profile_report": Query(run_report, REPORT_SQL),
 }

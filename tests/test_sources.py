@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from proseledger.plans.inspect import plan_text, schema_of
+from proseledger.plans.inspect import plan_text, schema_of, write_plan
 from proseledger.sources import roles, shared, synthetic, tables
 
 
@@ -71,6 +71,13 @@ def test_json_and_text_reports(spark, place):
     assert sorted(r.value for r in spark.read.text(text_path).collect()) == ["a=1", "b=null"]
 
 
+def test_plan_as_text_file(spark, place):
+    path = place("plan")
+    write_plan(spark.range(3).groupBy().count(), path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert "== Optimized Logical Plan ==" in lines and "== Physical Plan ==" in lines
+
+
 def test_default_table_only_where_there_is_none(spark, place):
     default = lambda: spark.range(3).toDF("x")
     assert tables.read_or_default(spark, place("missing"), default).count() == 3
