@@ -18,9 +18,8 @@ from proseledger.plans.registry import QUERIES
 
 HEADLINE = "five_aggregates"
 NAMES = [
-    HEADLINE,
     "average_length", "positive_count", "top_word_counts", "top_lengths", "length_categories",
-    "sentiment_summary", "text_features", "word_frequency",
+    HEADLINE, "sentiment_summary", "text_features", "word_frequency",
     "extract_features", "extraction_stats", "mask_cards",
     "running_sum", "moving_avg_3", "lag_lead_change", "rank_in_group", "window_report",
     "running_sum_large_groups", "rank_in_group_large_groups",

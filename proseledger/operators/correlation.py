@@ -35,17 +35,18 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     One scan and one aggregate for all pairs.
     """
     numbers = {c: F.col(c).cast("double") for c in columns}
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[pearson(numbers[a], numbers[b]).alias(f"{a}|{b}") for a, b in pairs])
-    rows = [
+    pairs = [
         F.struct(
-            F.lit(a).alias("col1"), F.lit(b).alias("col2"), F.col(f"`{a}|{b}`").alias("corr")
+            F.lit(a).alias("col1"),
+            F.lit(b).alias("col2"),
+            pearson(numbers[a], numbers[b]).alias("corr"),
         )
-        for a, b in pairs
+        for a, b in combinations_with_replacement(columns, 2)
     ]
+    matrix = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
     corr = F.col("corr")
     itself = F.col("col1") == F.col("col2")
-    return wide.select(F.inline(F.array(*rows))).withColumns(
+    return matrix.withColumns(
         {
             "strength": F.when(itself, "Perfect").otherwise(strength(corr)),
             "direction": F.when(corr > 0, "Positive").when(corr < 0, "Negative").otherwise("None"),

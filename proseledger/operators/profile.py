@@ -24,23 +24,15 @@ SHAPE = {"skewness": F.skewness, "kurtosis": F.kurtosis}
 
 def _moments(df: DataFrame, columns: Sequence[str], statistics: dict) -> DataFrame:
     """One aggregate over all columns at once, then one row per column."""
-    numbers = {c: F.col(c).cast("double") for c in columns}
-    wide = df.agg(
-        F.count("*").alias("rows"),
-        *[
-            F.struct(*[f(number).alias(name) for name, f in statistics.items()]).alias(c)
-            for c, number in numbers.items()
-        ],
-    )
     by_column = [
         F.struct(
             F.lit(c).alias("column"),
-            F.col("rows"),
-            *[F.col(c)[name].alias(name) for name in statistics],
+            F.count("*").alias("rows"),
+            *[f(F.col(c).cast("double")).alias(name) for name, f in statistics.items()],
         )
         for c in columns
     ]
-    return wide.select(F.inline(F.array(*by_column)))
+    return df.agg(F.array(*by_column).alias("columns")).select(F.inline("columns"))
 
 
 def basic_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:

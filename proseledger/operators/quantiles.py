@@ -66,17 +66,15 @@ def quantiles(
         )
         return found
     at = F.array(*[F.lit(float(f)) for f in fractions.values()])
-    sketched = df.agg(
-        *[F.percentile_approx(F.col(c).cast("double"), at, accuracy).alias(c) for c in columns]
-    )
-    rows = [
+    sketched = [
         F.struct(
             F.lit(c).alias("column"),
-            *[F.col(c)[i].alias(name) for i, name in enumerate(fractions)],
+            F.percentile_approx(F.col(c).cast("double"), at, accuracy).alias("at"),
         )
         for c in columns
     ]
-    return sketched.select(F.inline(F.array(*rows)))
+    rows = df.agg(F.array(*sketched).alias("columns")).select(F.inline("columns"))
+    return rows.select("column", *[F.col("at")[i].alias(name) for i, name in enumerate(fractions)])
 
 
 def quantile_edges(

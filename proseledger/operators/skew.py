@@ -37,14 +37,14 @@ class Large(NamedTuple):
     """The groups that are too large, how many they are and how many rows they hold."""
 
     groups: DataFrame
-    count: int
+    number: int
     rows: int
     chunks: int
 
     @property
     def parts(self) -> int:
         """No more pairs of (group, chunk) than this have rows."""
-        return self.count + self.chunks
+        return self.number + self.chunks
 
 
 def join_on_groups(
@@ -72,15 +72,15 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Lar
     limit = max_group_rows
     while True:
         large = sizes.where(F.col("_rows") > limit)
-        count, rows = large.agg(F.count("*"), F.sum("_rows")).first()
-        if count == 0:
+        number, rows = large.agg(F.count("*"), F.sum("_rows")).first()
+        if number == 0:
             return None
-        if count <= MAX_BROADCAST_ROWS:
+        if number <= MAX_BROADCAST_ROWS:
             break
         # Fewer than the allowed number of groups can be above their mean share.
         limit = rows // MAX_BROADCAST_ROWS
     chunks = min(MAX_CHUNKS, max(2, ceil(rows / max_group_rows)))
-    return Large(store(large.select(*keys), "large_groups"), count, rows, chunks)
+    return Large(store(large.select(*keys), "large_groups"), number, rows, chunks)
 
 
 def by_group_size(

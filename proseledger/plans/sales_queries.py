@@ -10,6 +10,7 @@ from ..operators.aggregates import table_summary
 from ..operators.sales import window_report
 from ..operators.shares import group_shares, share_of_total
 from ..sources.roles import with_roles
+from ..sources.synthetic import with_synthetic_columns
 from .query import Query, comparable, table
 
 ORDER = ["o_orderdate", "o_orderkey"]
@@ -179,6 +180,53 @@ WINDOW_REPORT_SQL = """
     FROM w WHERE amount > 0"""
 
 
+def run_review_report(spark, folder):
+    """All window columns on documents dressed as reviews: by user, rated, grouped by votes."""
+    df = table(spark, folder, "documents").select("doc_id")
+    df = with_synthetic_columns(df, "doc_id").withColumns(
+        {
+            "rating": 6 + F.pmod(F.col("doc_id") * 37, F.lit(401)) / 100,
+            "helpful_votes": F.pmod("doc_id", F.lit(7)),
+        }
+    )
+    df, roles = with_roles(df)
+    report = window_report(df, roles, "review_id")
+    return comparable(
+        report.select(
+            "review_id", roles.id, roles.group, roles.amount, F.col("review_date_ts").alias("day"),
+            "cumulative_sum", "moving_avg_3", "rank_in_group", "dense_rank_in_group",
+            "prev_rating", "next_rating", "rating_change", "percent_of_total",
+        ),
+        CENTS,
+    )
+
+
+REVIEW_REPORT_SQL = """
+    WITH t AS (
+        SELECT doc_id AS review_id, 'user_' || CAST(doc_id % 100 + 1 AS VARCHAR) AS user_id,
+               doc_id % 7 AS helpful_votes, 6 + (doc_id * 37 % 401) / CAST(100 AS DOUBLE) AS rating,
+               DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS d FROM documents),
+    w AS (
+        SELECT *,
+               sum(rating) OVER (PARTITION BY user_id, helpful_votes ORDER BY d, review_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+               avg(rating) OVER (PARTITION BY user_id ORDER BY d, review_id
+                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS mov,
+               lag(rating) OVER i AS p, lead(rating) OVER i AS n,
+               rank() OVER g AS rnk, dense_rank() OVER g AS dense,
+               sum(rating) OVER (PARTITION BY helpful_votes) / sum(rating) OVER () AS share
+        FROM t WINDOW i AS (PARTITION BY user_id ORDER BY d, review_id),
+                      g AS (PARTITION BY helpful_votes ORDER BY rating DESC))
+    SELECT review_id, user_id, helpful_votes, round(rating, 4) AS rating,
+           strftime(d, '%Y-%m-%d') AS day, round(cum, 4) AS cumulative_sum,
+           round(mov, 4) AS moving_avg_3, CAST(rnk AS BIGINT) AS rank_in_group,
+           CAST(dense AS BIGINT) AS dense_rank_in_group, round(p, 4) AS prev_rating,
+           round(n, 4) AS next_rating,
+           round(CASE WHEN p IS NULL THEN 0 ELSE rating - p END, 4) AS rating_change,
+           CAST(CAST(share * 100 AS DECIMAL(5, 2)) AS DOUBLE) AS percent_of_total
+    FROM w"""
+
+
 SHARES_SQL = """
     SELECT o_orderpriority, round(gs, 2) AS group_sum, round(ts, 2) AS total_sum,
            CAST(CAST(gs / ts * 100 AS DECIMAL(5, 2)) AS DOUBLE) AS percent_of_total
@@ -274,6 +322,7 @@ QUERIES = {
             FROM ({RANKS_SQL}) ORDER BY o_orderpriority, rank_in_group, o_orderkey LIMIT 10""",
     ),
     "window_report": Query(run_window_report, WINDOW_REPORT_SQL),
+    "window_report_reviews": Query(run_review_report, REVIEW_REPORT_SQL),
     "share_of_total": Query(run_shares, SHARES_SQL),
     "share_of_total_join": Query(
         run_share_rows,

@@ -23,7 +23,6 @@ from ..sources.shared import new_path
 from ..sources.synthetic import row_key, with_synthetic_columns
 from ..sources.tables import read_csv, read_or_default, read_table, write_csv, write_json, write_text
 from .query import Query, comparable, table
-from .sales_queries import ORDER
 
 LABEL_SQL = "CASE WHEN value > 50 THEN 'positive' WHEN value < 50 THEN 'negative' ELSE 'neutral' END"
 
@@ -223,6 +222,20 @@ def run_sample(spark, folder):
     return read_table(spark, f"{folder}/orders.parquet").sample(0.1, seed=7)
 
 
+def run_sample_share(spark, folder):
+    """The sample is about a tenth of the orders, each of them an order and none of them twice."""
+    df = read_table(spark, f"{folder}/orders.parquet")
+    sampled = df.sample(0.1, seed=7).select("o_orderkey")
+    kept = sampled.join(df.select("o_orderkey"), "o_orderkey", "left_semi")
+    total = df.agg(F.count("*")).scalar()
+    return kept.agg(
+        F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("different")
+    ).select(
+        (F.abs(F.col("n") / total - 0.1) < 0.05).alias("about_a_tenth"),
+        (F.col("n") == F.col("different")).alias("none_twice"),
+    )
+
+
 QUERIES = {
     "sentiment_category": Query(run_label, LABELS_SQL),
     "sentiment_category_udf": Query(run_label_udf, LABELS_SQL),
@@ -289,4 +302,7 @@ QUERIES = {
                   'Region_A' AS group_name, true AS amount_in_range FROM events""",
     ),
     "sample_rows": Query(run_sample, None),
+    "sample_share": Query(
+        run_sample_share, "SELECT true AS about_a_tenth, true AS none_twice"
+    ),
 }

@@ -1,7 +1,6 @@
 """Reading, writing, roles and synthetic columns."""
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from proseledger.plans.inspect import plan_text, schema_of, write_plan

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from proseledger.operators import windows
+from proseledger.operators import skew, windows
 from proseledger.operators.shares import group_shares, share_of_total
 
 SALES = [
@@ -132,13 +132,35 @@ def test_rank_when_one_value_fills_many_chunks(spark):
     } == {(9.0, 1, 1), (5.0, 2, 2), (1.0, 302, 3)}
 
 
+def test_bounds_hold_when_too_many_groups_are_large(spark, monkeypatch):
+    """More large groups and chunks than allowed: the limits rise, the results stay."""
+    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
+    monkeypatch.setattr(windows, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "MAX_CHUNKS", 3)
+    rows = [(i, f"g{0 if i % 3 else i % 5}", f"2024-01-{i % 9 + 1:02d}", float(i % 13)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k string, day string, amount double")
+    found = skew.large_groups(df, ["k"], 10)
+    assert [r.k for r in found.groups.collect()] == ["g0"] and found.chunks == 3
+    order = ["day", "id"]
+    df = windows.running_sum(df, ["k"], order, "amount", max_group_rows=10)
+    df = windows.moving_avg_and_neighbours(df, ["k"], order, "amount", max_group_rows=10)
+    df = windows.ranks(df, ["k"], "amount", ["id"], max_group_rows=10)
+    expected = by_hand(rows, lambda r: r[1], 3)
+    got = df.collect()
+    assert len(got) == 300
+    for row in got:
+        values = (
+            row.cumulative_sum, row.moving_avg_3, row.prev_amount, row.next_amount,
+            row.rank_in_group, row.dense_rank_in_group,
+        )
+        assert values == pytest.approx(expected[row.id]), row
+
+
 def test_no_chunk_task_gets_a_whole_large_group(spark):
     df = spark.range(0, 10_000).select(
         F.col("id"), F.lit("hot").alias("k"), (F.col("id") % 97).cast("double").alias("amount")
     )
-    from proseledger.operators.skew import in_chunks
-
-    chunked = in_chunks(df, ["k"], [F.col("amount").desc(), F.col("id")], 10)
+    chunked = skew.in_chunks(df, ["k"], [F.col("amount").desc(), F.col("id")], 10)
     sizes = [r["count"] for r in chunked.groupBy("k", "_chunk").count().collect()]
     assert sum(sizes) == 10_000 and max(sizes) < 3_000
 
