@@ -32,21 +32,28 @@ def strength(corr: Column) -> Column:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Every pair of columns, each with itself too: correlation, its strength and sign.
 
-    One scan and one aggregate for all pairs.
+    One scan. Each row is turned into one row per pair, which are combined at
+    once, before anything is shuffled.
     """
+    pairs = list(combinations_with_replacement(columns, 2))
     numbers = {c: F.col(c).cast("double") for c in columns}
-    pairs = [
-        F.struct(
-            F.lit(a).alias("col1"),
-            F.lit(b).alias("col2"),
-            pearson(numbers[a], numbers[b]).alias("corr"),
-        )
-        for a, b in combinations_with_replacement(columns, 2)
+    names = [str(i) for i in range(len(pairs))]
+    values = [
+        F.struct(numbers[a].alias("a"), numbers[b].alias("b")).alias(name)
+        for name, (a, b) in zip(names, pairs)
     ]
-    matrix = df.agg(F.array(*pairs).alias("pairs")).select(F.inline("pairs"))
+    matrix = (
+        df.select(values)
+        .unpivot([], names, "pair", "v")
+        .groupBy("pair")
+        .agg(pearson(F.col("v.a"), F.col("v.b")).alias("corr"))
+    )
+    which = F.array(*[F.struct(F.lit(a), F.lit(b)) for a, b in pairs])[F.col("pair").cast("int")]
     corr = F.col("corr")
     itself = F.col("col1") == F.col("col2")
-    return matrix.withColumns(
+    return matrix.select(
+        which["col1"].alias("col1"), which["col2"].alias("col2"), "corr"
+    ).withColumns(
         {
             "strength": F.when(itself, "Perfect").otherwise(strength(corr)),
             "direction": F.when(corr > 0, "Positive").when(corr < 0, "Negative").otherwise("None"),

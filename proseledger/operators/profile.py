@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import reused, store
-from .quantiles import QUANTILES, quantiles
+from .quantiles import QUANTILES, long_form, quantiles
 from .skew import MAX_GROUP_ROWS
 
 MOMENTS = {
@@ -23,16 +23,18 @@ SHAPE = {"skewness": F.skewness, "kurtosis": F.kurtosis}
 
 
 def _moments(df: DataFrame, columns: Sequence[str], statistics: dict) -> DataFrame:
-    """One aggregate over all columns at once, then one row per column."""
-    by_column = [
-        F.struct(
-            F.lit(c).alias("column"),
+    """One row per column. The columns are turned into rows first and grouped: one
+    aggregate per column and statistic side by side soon has more fields than
+    Spark compiles, and is then interpreted."""
+    number = F.col("value")
+    return (
+        long_form(df, columns)
+        .groupBy("column")
+        .agg(
             F.count("*").alias("rows"),
-            *[f(F.col(c).cast("double")).alias(name) for name, f in statistics.items()],
+            *[f(number).alias(name) for name, f in statistics.items()],
         )
-        for c in columns
-    ]
-    return df.agg(F.array(*by_column).alias("columns")).select(F.inline("columns"))
+    )
 
 
 def basic_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,7 +49,7 @@ def profile(
     max_group_rows: int = MAX_GROUP_ROWS,
     persist: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ) -> DataFrame:
-    """The full profile per column.
+    """The full profile per column (no rows for a table without rows).
 
     ``basic_summary`` plus skewness and excess kurtosis (population), NULL and
     non-NULL rows, quantiles, range, interquartile range and coefficient of

@@ -25,17 +25,18 @@ from .windows import running_sum
 QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
-def as_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per (column, value), values as double, NULLs left out."""
+def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per (column, value), values as double."""
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    return values.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
+    return values.unpivot([], list(columns), "column", "value")
 
 
 def cumulative_counts(
     df: DataFrame, columns: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Distinct values per column: ``n`` rows with it, ``upto`` rows up to it, ``total`` rows."""
-    counts = as_long(df, columns).groupBy("column", "value").agg(F.count("*").alias("n"))
+    known = long_form(df, columns).where(F.col("value").isNotNull())
+    counts = known.groupBy("column", "value").agg(F.count("*").alias("n"))
     counts = store(counts, "value_counts")
     summed = running_sum(counts, ["column"], ["value"], "n", "upto", max_group_rows)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))

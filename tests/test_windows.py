@@ -51,7 +51,7 @@ def all_windows(df, limit):
     return windows.prev_next(df, ["customer_id"], order, "amount", max_group_rows=limit)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 2, 1])
+@pytest.mark.parametrize("limit", [1_000_000, 1])
 def test_ten_rows_by_hand(sales, limit):
     rows = all_windows(sales, limit).collect()
     assert len(rows) == 10
@@ -100,8 +100,7 @@ def by_hand(rows, key_of, n):
     return out
 
 
-@pytest.mark.parametrize("limit", [5, 50, 250])
-@pytest.mark.parametrize("n", [3, 7])
+@pytest.mark.parametrize("limit, n", [(5, 3), (40, 7), (250, 3)])
 def test_chunks_give_what_one_window_gives(spark, limit, n):
     rows = skewed_rows(limit + n)
     df = spark.createDataFrame(rows, "id long, k string, day string, amount double")
