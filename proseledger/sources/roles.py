@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .synthetic import row_key, uniform
 
 
-@dataclass(frozen=True)
-class Roles:
+class Roles(NamedTuple):
     date: str
     amount: str
     id: str
@@ -23,33 +24,33 @@ SALES = Roles("order_date", "amount", "customer_id", "region")
 REVIEWS = Roles("review_date", "rating", "user_id", "helpful_votes")
 DEFAULT = Roles("transaction_date", "amount", "customer_id", "region")
 
+# Fixed value: what the name of a text column has in it.
+TEXT_NAME = re.compile("review|text", re.IGNORECASE)
+
 
 def find_text_column(df: DataFrame) -> str:
-    """The first column whose name has 'review' or 'text' in it, else the first string column."""
-    for name in df.columns:
-        if "review" in name.lower() or "text" in name.lower():
-            return name
-    for name, kind in df.dtypes:
-        if kind == "string":
-            return name
-    raise ValueError("the table has no text column")
+    """The first column named like a text column, or else the first string column."""
+    named = [field.name for field in df.schema if TEXT_NAME.search(field.name)]
+    strings = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+    if not named and not strings:
+        raise ValueError("the table has no text column")
+    return (named + strings)[0]
 
 
 def with_roles(df: DataFrame, key: str | None = None, seed: int = 0) -> tuple[DataFrame, Roles]:
-    """The table and its roles. A table of unknown kind gets default columns for them."""
-    if SALES.date in df.columns:
-        return df, SALES
-    if REVIEWS.date in df.columns:
-        return df, REVIEWS
+    """The table and its roles: those of the first kind whose date column it has.
+
+    A table of neither kind gets columns for the default roles: one date and one
+    group for all rows, an id of its own for each, and an amount in [0, 1000).
+    """
+    for known in (SALES, REVIEWS):
+        if known.date in df.columns:
+            return df, known
     number = row_key(key)
-    return (
-        df.withColumns(
-            {
-                DEFAULT.date: F.lit("2024-01-01"),
-                DEFAULT.amount: uniform(number, seed) * 1000,
-                DEFAULT.id: F.concat(F.lit("cust_"), number.cast("string")),
-                DEFAULT.group: F.lit("Region_A"),
-            }
-        ),
-        DEFAULT,
-    )
+    made_up = {
+        DEFAULT.date: F.lit("2024-01-01"),
+        DEFAULT.amount: uniform(number, seed) * 1000,
+        DEFAULT.id: F.concat(F.lit("cust_"), number.cast("string")),
+        DEFAULT.group: F.lit("Region_A"),
+    }
+    return df.withColumns(made_up), DEFAULT
