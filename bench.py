@@ -66,6 +66,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "cpus": cpus,
                 "total": round(sum(times.values()), 4),
             }
         )

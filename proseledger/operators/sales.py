@@ -21,7 +21,7 @@ def with_date_parts(df: DataFrame, date: str) -> DataFrame:
 
 
 def window_report(
-    df: DataFrame, roles: Roles, tiebreak: str, max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, roles: Roles, tiebreak: str, max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Every row with running sum, moving mean, ranks, neighbours and share of total.
 

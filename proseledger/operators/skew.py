@@ -86,7 +86,7 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Lar
 def by_group_size(
     df: DataFrame,
     keys: Sequence[str],
-    max_group_rows: int,
+    max_group_rows: int | None,
     small: Callable[[DataFrame], DataFrame],
     large: Callable[[DataFrame, Large], DataFrame],
 ) -> DataFrame:
@@ -94,8 +94,10 @@ def by_group_size(
 
     The table is read once to count and, if there are large groups, once for
     either kind: store it first if it is dear to compute, or not the same each time.
+    No limit (None) means that the caller knows all groups to be small: nothing
+    is counted then.
     """
-    found = large_groups(df, keys, max_group_rows)
+    found = None if max_group_rows is None else large_groups(df, keys, max_group_rows)
     if found is None:
         return small(df)
     rest = join_on_groups(df, found.groups, keys, "left_anti", broadcast=True)

@@ -35,7 +35,7 @@ def running_sum(
     order: Sequence[str | Column],
     value: str,
     name: str = "cumulative_sum",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the group up to this one."""
     order = columns(order)
@@ -67,7 +67,7 @@ def near_rows(
     inputs: Sequence[str],
     reach: int,
     outputs: Callable[[WindowSpec], dict[str, Column]],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Window columns that look at most ``reach`` rows to either side.
 
@@ -139,7 +139,7 @@ def moving_avg(
     value: str,
     n: int = 3,
     name: str | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Mean of ``value`` over this row and the n - 1 before it, fewer at the start."""
     outputs = _mean_of_last(value, n, name or f"moving_avg_{n}")
@@ -151,7 +151,7 @@ def prev_next(
     keys: Sequence[str],
     order: Sequence[str | Column],
     value: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """The value one row before, the value one row after, and the change from before.
 
@@ -167,7 +167,7 @@ def moving_avg_and_neighbours(
     order: Sequence[str | Column],
     value: str,
     n: int = 3,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``moving_avg`` and ``prev_next`` over the same windows, in one go."""
     mean, neighbours = _mean_of_last(value, n, f"moving_avg_{n}"), _neighbours(value)
@@ -184,7 +184,7 @@ def ranks(
     group: Sequence[str],
     value: str,
     tiebreak: Sequence[str],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rank and dense rank within the group, highest value first, equal values alike.
 

@@ -175,6 +175,12 @@ def run_text_column(spark, folder):
     return df.select("doc_id", F.md5("review_text").alias("text_md5"))
 
 
+def run_conversations(spark, folder):
+    """The sentiment summary of the conversations, whose text column is found by its name."""
+    df = table(spark, folder, "conversations")
+    return comparable(aggregates.sentiment_summary(df, find_text_column(df)))
+
+
 def run_predicates(spark, folder):
     """Equality, inequality, half-open range, NULL tests and their conjunction."""
     df = documents(spark, folder).withColumn("words", word_count(F.col("text")))
@@ -238,6 +244,13 @@ QUERIES = {
                    count(*) AS review_count, round(avg(word_count), 6) AS avg_words
             FROM ({DOCUMENT_FEATURES_SQL}) WHERE review_length > 50 GROUP BY 1 ORDER BY 1""",
     ),
+    "sentiment_summary_conversations": Query(
+        run_conversations,
+        f"""SELECT has_positive, round(avg(review_length), 6) AS avg_length,
+                   count(*) AS review_count, round(avg(word_count), 6) AS avg_words
+            FROM ({features_sql("SELECT * FROM conversations", "conv_id")})
+            WHERE review_length > 50 GROUP BY 1""",
+    ),
     "text_features": Query(
         run_text_features,
         f"""SELECT doc_id, review_length, word_count, sentence_count,

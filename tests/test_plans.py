@@ -55,6 +55,14 @@ def test_windows_over_one_id_share_a_shuffle(orders):
     assert exchanges(df) == ["hashpartitioning"]
 
 
+def test_groups_known_to_be_small_are_not_counted(orders, monkeypatch):
+    from proseledger.operators import skew
+
+    monkeypatch.setattr(skew, "large_groups", None)
+    df = windows.running_sum(orders, ["o_custkey"], ORDER, "o_totalprice", max_group_rows=None)
+    assert exchanges(df) == ["hashpartitioning"]
+
+
 @pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("share_of_total")] + ["window_report"])
 def test_no_window_over_the_whole_table(spark, sf, name):
     text = plan(QUERIES[name].run(spark, sf))
