@@ -40,6 +40,8 @@ class Large(NamedTuple):
     number: int
     rows: int
     chunks: int
+    # Whether no row is in any other group.
+    all_rows: bool
 
     @property
     def parts(self) -> int:
@@ -71,16 +73,19 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Lar
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     limit = max_group_rows
     while True:
-        large = sizes.where(F.col("_rows") > limit)
-        number, rows = large.agg(F.count("*"), F.sum("_rows")).first()
+        is_large = F.col("_rows") > limit
+        number, rows, total = sizes.agg(
+            F.count_if(is_large), F.sum(F.when(is_large, F.col("_rows"))), F.sum("_rows")
+        ).first()
         if number == 0:
             return None
         if number <= MAX_BROADCAST_ROWS:
             break
         # Fewer than the allowed number of groups can be above their mean share.
         limit = rows // MAX_BROADCAST_ROWS
+    groups = store(sizes.where(is_large).select(*keys), "large_groups")
     chunks = min(MAX_CHUNKS, max(2, ceil(rows / max_group_rows)))
-    return Large(store(large.select(*keys), "large_groups"), number, rows, chunks)
+    return Large(groups, number, rows, chunks, rows == total)
 
 
 def by_group_size(
@@ -92,14 +97,16 @@ def by_group_size(
 ) -> DataFrame:
     """``small`` on the rows of small groups and ``large`` on the rows of large ones.
 
-    The table is read once to count and, if there are large groups, once for
-    either kind: store it first if it is dear to compute, or not the same each time.
+    The table is read once to count and once for either kind of group it has:
+    store it first if it is dear to compute, or not the same each time.
     No limit (None) means that the caller knows all groups to be small: nothing
     is counted then.
     """
     found = None if max_group_rows is None else large_groups(df, keys, max_group_rows)
     if found is None:
         return small(df)
+    if found.all_rows:
+        return large(df, found)
     rest = join_on_groups(df, found.groups, keys, "left_anti", broadcast=True)
     heavy = join_on_groups(df, found.groups, keys, "left_semi", broadcast=True)
     return small(rest).unionByName(large(heavy, found))
