@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from proseledger.functions import extract, fixed, labels
-from proseledger.functions.text import text_features
+from proseledger.functions.text import has_positive, text_features, word_count
 from proseledger.operators import aggregates, frequency
 
 TEXTS = [
@@ -76,7 +76,7 @@ NEAR_MISSES = st.text(alphabet="aZ@._%+- 0123456789(){}$,:#ErRrorINVOdeg\n\té",
 @given(st.lists(NEAR_MISSES, min_size=40, max_size=60))
 def test_shortcuts_change_no_match(spark, texts):
     """Each guarded expression against the bare pattern, on texts full of near misses."""
-    pieces = ["a@b.co", "(555) 123-4567", "1.2.3.4", "1111222233334444", "ERR-404", "$1,2", "2024-01-01"]
+    pieces = ["a@b.co", "(555) 123-4567", "1.2.3.4", "1111222233334444", "ERR-404", "$1,2", "2024-01-01", " good", "best "]
     rows = [(t + pieces[i % len(pieces)] * (i % 3) + t[:5],) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "text string")
     text = F.col("text")
@@ -90,9 +90,14 @@ def test_shortcuts_change_no_match(spark, texts):
         | {
             "bare_has_cc": F.when(text.rlike(fixed.CARD), "YES").otherwise("NO"),
             "bare_masked_text": F.regexp_replace(text, fixed.CARD, fixed.CARD_MASK),
+            "words": word_count(text),
+            "bare_words": F.size(F.split(text, " ")),
+            "good": has_positive(text),
+            "bare_good": F.when(text.rlike(r"\b(great|good|excellent|amazing|best)\b"), 1).otherwise(0),
         }
     )
     for row in got.collect():
+        assert (row.words, row.good) == (row.bare_words, row.bare_good), row.text
         for name in [*bare, "has_cc", "masked_text"]:
             assert row[name] == row[f"bare_{name}"], (name, row.text)
 
