@@ -63,6 +63,16 @@ def map_batches(df: DataFrame, rows: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(rows, schema)
 
 
+def settled(df: DataFrame, kept: list[str], computed: list[str]) -> DataFrame:
+    """Work the computed columns out here, once.
+
+    A filter on a computed column would be moved below its projection and the
+    expressions put in its place, into lambda functions too, where they would
+    run again for every element. No filter moves below a generator.
+    """
+    return df.select(*kept, F.inline_outer(F.array(F.struct(*computed))))
+
+
 def text_key(text: Column) -> Column:
     """With the id, tells rows apart that share an id but not a text."""
     return F.xxhash64(text, F.octet_length(text))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settled
+
 _ADDRESS = r"A-Za-z0-9._%+-"
 # A run of digits or address characters is tried from its start only, or from where the
 # match before it ended: later starts in a run fail as the first did. Possessive
@@ -198,4 +200,5 @@ def find_personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
     all_spans = F.sort_array(F.concat(*[F.col(f"_{kind}") for kind in KINDS]))
     out = out.withColumn("pii_spans", all_spans)
     base = F.filter("pii_spans", lambda s: s["order"] < len(BASE_KINDS))
-    return out.withColumn("pii_base", base).select("_row.*", "pii_spans", "pii_base")
+    new = ["pii_spans", "pii_base"]
+    return settled(out.withColumn("pii_base", base), ["_row"], new).select("_row.*", *new)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CLASS, store
+from .common import SPACE, SPACE_CLASS, settled, store
 
 # Classes of characters, in the order in which they are taken out of a text.
 CLASSES = [
@@ -227,10 +227,10 @@ def quality_rules(
         (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance)
         | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
     )
-    return (
+    df = (
         df.withColumn("class_distance", class_distance)
         .withColumn("word_distance", word_distance)
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & ~far)
-        .select("_row.*", *added)
     )
+    return settled(df, ["_row"], added).select("_row.*", *added)

@@ -122,11 +122,11 @@ LINE_DEDUP_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines FROM documents
 ), lines AS (
-  SELECT doc_id, unnest(all_lines) AS line, generate_subscripts(all_lines, 1) AS at FROM split
+  SELECT doc_id, unnest(all_lines) AS line, generate_subscripts(all_lines, 1) AS place FROM split
 ), bare AS (
   SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS l FROM lines
 ), numbered AS (
-  SELECT doc_id, at, l, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS i,
+  SELECT doc_id, place, l, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i,
     len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
   FROM bare WHERE l <> ''
 ), runs AS (
@@ -141,12 +141,12 @@ WITH split AS (
     CASE WHEN doc_id = first_doc THEN greatest(i, first_i + 2) ELSE i END, i + 2)) AS i
   FROM firsts WHERE doc_id <> first_doc OR i <> first_i
 ), marked AS (
-  SELECT b.doc_id, b.at, b.line, g.i IS NOT NULL AS deleted
-  FROM bare b LEFT JOIN numbered n ON n.doc_id = b.doc_id AND n.at = b.at
+  SELECT b.doc_id, b.place, b.line, g.i IS NOT NULL AS deleted
+  FROM bare b LEFT JOIN numbered n ON n.doc_id = b.doc_id AND n.place = b.place
   LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.i = n.i
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (deleted) AS n_deleted,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT deleted), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT deleted), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
 
