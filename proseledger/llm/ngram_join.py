@@ -193,13 +193,13 @@ def _postings(df: DataFrame, levels, size: int, percent: int) -> DataFrame:
 
 
 def _chains(percent: int):
-    """Per token, over rows sorted by token, n and fp: neighbours as pairs (kind 0), and the
-    members of buckets of three or more (kind 1)."""
+    """Per token, over rows sorted by token, n and fp: neighbours as pairs (kind 0, or 2 if they
+    are the whole bucket), and the members of buckets of three or more (kind 1)."""
 
-    def out(kind, a, b, n):
+    def out(kind, a, b, n, m):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(a), kind, np.int8)), pa.array(a), pa.array(b), pa.array(n)],
-            ["kind", "a", "b", "n"],
+            [pa.array(kind.astype(np.int8)), pa.array(a), pa.array(b), pa.array(n), pa.array(m)],
+            ["kind", "a", "b", "n", "m"],
         )
 
     def rows(batches):
@@ -211,14 +211,14 @@ def _chains(percent: int):
             same = token[1:] == token[:-1]
             pair = same & (n[:-1].astype(np.int64) * 100 >= n[1:].astype(np.int64) * percent)
             at = np.flatnonzero(pair)
-            yield out(0, fp[at], fp[at + 1], n[at])
             starts = np.flatnonzero(np.concatenate([[True], ~same]))
             sizes = np.diff(np.append(starts, len(token)))
             many = sizes >= 3
             if first_is_big:
                 many[0] = True
             keep = np.repeat(many, sizes)
-            yield out(1, token[keep], fp[keep], n[keep])
+            yield out(np.where(keep[at], 0, 2), fp[at], fp[at + 1], n[at], n[at + 1])
+            yield out(np.ones(keep.sum()), token[keep], fp[keep], n[keep], n[keep])
 
         for batch in batches:
             token, fp, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -258,7 +258,7 @@ def _cross_pairs(percent: int):
                     n[begin:end].astype(np.int64) * percent,
                     n[begin:end].astype(np.int64) * 100, side="right",
                 )
-                left, right = [], []
+                left, right, less, more = [], [], [], []
                 for i, stop in enumerate(most.tolist()):
                     if stop > i + 1:
                         of = slice(begin + i + 1, begin + stop)
@@ -269,9 +269,12 @@ def _cross_pairs(percent: int):
                         if len(found):
                             left.append(np.full(len(found), fp[begin + i]))
                             right.append(found)
+                            less.append(np.full(len(found), n[begin + i]))
+                            more.append(n[of][other])
                 if left:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"]
+                        [pa.array(np.concatenate(c)) for c in (left, right, less, more)],
+                        ["a", "b", "n", "m"],
                     )
 
         for batch in batches:
@@ -292,8 +295,11 @@ def _cross_pairs(percent: int):
     return rows
 
 
-def _further_prefixes(df: DataFrame, levels, size: int, percent: int) -> DataFrame:
-    """fp, n and the prefixes under the orders after the first, cut to 32 bits (a superset passes)."""
+def _further_prefixes(df: DataFrame, wanted: DataFrame, levels, size: int, percent: int) -> DataFrame:
+    """fp, n and the prefixes of wanted sets under the orders after the first.
+
+    Tokens are cut to 32 bits; ``lost`` counts those that fell together.
+    """
 
     def rows(batches):
         seen: set[int] = set()
@@ -302,27 +308,33 @@ def _further_prefixes(df: DataFrame, levels, size: int, percent: int) -> DataFra
             for _, _, texts in _texts(batch):
                 sets = shingle_sets(texts, size)
                 fps, ns = fingerprints(sets), np.diff(sets.bounds)
-                fresh = [at for at, fp in enumerate(fps.tolist()) if ns[at] and fp not in seen]
-                seen.update(fps[fresh].tolist())
+                fresh = []
+                for at, fp in enumerate(fps.tolist()):
+                    if ns[at] and fp not in seen:
+                        fresh.append(at)
+                        seen.add(fp)
                 if len(seen) >= 200_000:
                     seen.clear()
                 short = [prefixes(sets, table, order, percent) for order in range(1, ORDERS)]
+                short = [[np.unique(p[at].astype(np.uint32).view(np.int32)) for at in fresh] for p in short]
+                whole = np.array([prefix_length(int(ns[at]), percent) for at in fresh], np.int64)
+                least = np.array([min(len(p[i]) for p in short) for i in range(len(fresh))], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(fps[fresh]),
-                        *[pa.array([p[at].astype(np.uint32).view(np.int32) for at in fresh], kind)
-                          for p in short],
-                    ],
-                    ["fp", *PREFIXES],
+                    [pa.array(fps[fresh]), pa.array(ns[fresh]), pa.array(whole - least),
+                     *[pa.array(p, kind) for p in short]],
+                    ["fp", "n", "lost", *PREFIXES],
                 )
 
-    return map_batches(df, rows, "fp long" + "".join(f", {p} array<int>" for p in PREFIXES))
+    made = map_batches(
+        df, rows, "fp long, n long, lost long" + "".join(f", {p} array<int>" for p in PREFIXES)
+    )
+    return made.join(wanted, "fp", "left_semi").dropDuplicates(["fp"])
 
 
 def _whole_sets(df: DataFrame, wanted: DataFrame, sets: DataFrame, size: int) -> DataFrame:
     """fp, n and all tokens of the wanted sets, each made from one document that has it."""
     one = (
-        sets.join(wanted, "fp", "left_semi")
+        sets.join(small_side(store(wanted, "ends")), "fp", "left_semi")
         .groupBy("fp")
         .agg(F.min(F.struct("id", "key")).alias("row"))
         .select(F.col("row.id").alias("_rep_id"), F.col("row.key").alias("_rep_key"))
@@ -349,6 +361,17 @@ def _whole_sets(df: DataFrame, wanted: DataFrame, sets: DataFrame, size: int) ->
     return store(made.dropDuplicates(["fp"]), "whole_sets")
 
 
+def _least_shared(n, m, percent: int):
+    """Prefix tokens that two similar enough sets of these sizes share at least, under any order.
+
+    Of the common tokens, those behind the prefix of the set whose prefix ends
+    first are no more than it has there; all others are in both prefixes.
+    """
+    common = F.ceil(percent * (n + m) / (100 + percent))
+    behind = F.ceil(percent * F.greatest(n, m) / 100) - 1
+    return F.greatest(F.lit(1), common - behind)
+
+
 class _Join(NamedTuple):
     """What both rounds of verification need."""
 
@@ -360,15 +383,18 @@ class _Join(NamedTuple):
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs that share prefix tokens under every order, and then are similar enough."""
-        pairs = store(pairs.distinct(), "candidates")
-        short = _further_prefixes(self.base, self.levels, self.size, self.percent)
+        agree = store(pairs.distinct(), "candidates")
         short = store(
-            short.join(_ends(pairs), "fp", "left_semi").dropDuplicates(["fp"]), "prefixes"
+            _further_prefixes(
+                self.base, small_side(store(_ends(agree), "ends")), self.levels, self.size, self.percent
+            ), "prefixes",
         )
-        agree = _both_sides(pairs, short, PREFIXES)
         for prefix in PREFIXES:
-            agree = agree.where(F.arrays_overlap(f"{prefix}_a", f"{prefix}_b"))
-        agree = store(agree.select("a", "b"), "filtered")
+            both = _both_sides(agree, short, ["n", "lost", prefix])
+            shared = F.size(F.array_intersect(f"{prefix}_a", f"{prefix}_b"))
+            least = _least_shared(F.col("n_a"), F.col("n_b"), self.percent)
+            enough = shared >= F.greatest(F.lit(1), least - F.col("lost_a") - F.col("lost_b"))
+            agree = store(both.where(enough).select("a", "b"), "filtered")
         whole = _whole_sets(self.base, _ends(agree), self.sets, self.size)
         both = _both_sides(agree, whole, ["n", "tokens"])
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -419,10 +445,18 @@ def similar_sets(
         .sortWithinPartitions("token", "n", "fp")
     )
     found = store(
-        map_batches(buckets, _chains(percent), "kind byte, a long, b long, n int"), "buckets"
+        map_batches(buckets, _chains(percent), "kind byte, a long, b long, n int, m int"), "buckets"
+    )
+    ordered = lambda p, *more: p.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n", "m", *more
+    )
+    least = _least_shared(F.max("n").cast("long"), F.max("m").cast("long"), percent)
+    # A pair that is alone in all its buckets has been counted; others may share more.
+    neighbours = store(
+        ordered(found.where("kind <> 1"), "kind").groupBy("a", "b")
+        .agg(F.min("kind").alias("kind"), F.count("*").alias("shared"), least.alias("least"))
+        .where("kind = 0 or shared >= least").select("a", "b"), "neighbours",
     )
-    ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    neighbours = ordered(found.where("kind = 0"))
     members = found.where("kind = 1").select(
         F.col("a").alias("token"), F.col("b").alias("fp"), "n"
     )
@@ -460,8 +494,17 @@ def similar_sets(
         "fp", "n", "comp",
     )
     placed = placed.repartition("place").sortWithinPartitions("place", "n", "fp")
-    rest = map_batches(placed, _cross_pairs(percent), "a long, b long")
-    rest = ordered(rest).distinct().join(neighbours.distinct(), ["a", "b"], "left_anti")
+    rest = map_batches(placed, _cross_pairs(percent), "a long, b long, n int, m int")
+    # Every bucket that two sets share has been looked into: their common prefix tokens are counted.
+    counted = ordered(rest).withColumn("crossing", F.lit(True)).unionByName(
+        ordered(found.where("kind = 2")).withColumn("crossing", F.lit(False))
+    )
+    rest = (
+        counted.groupBy("a", "b")
+        .agg(F.max("crossing").alias("crossing"), F.count("*").alias("shared"), least.alias("least"))
+        .where("crossing and shared >= least").select("a", "b")
+        .join(neighbours, ["a", "b"], "left_anti")
+    )
     second = join.verified(rest)
     return sets, first.unionByName(second)
 
@@ -482,8 +525,8 @@ def near_duplicates(
     Equal sets are one set from the start. Two sets that are similar share a
     token among the first ``n - ceil(percent * n) + 1`` of either under any
     order of all tokens, so candidates come from buckets of prefix tokens under
-    one order, and must also share prefix tokens under two more before their
-    whole sets are compared. All orders put tokens of crowded cells last, which
+    one order, and must also share prefix tokens (as many as follow from their
+    sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
     keeps passages that many documents share out of the prefixes. Candidates
     are first the neighbours (by size) in every bucket, then all pairs that the
     links found so far don't connect. So a group of n near copies costs n, not
