@@ -21,6 +21,12 @@ from .graph import components
 CELLS = 1 << 17
 # Prefix orders: the first finds candidates, the others must agree.
 ORDERS = 3
+# Sets of one class differ in size by less than a seventh.
+CLASSES_OF_SIZE = 7.0
+# In buckets up to this size all neighbours are compared from the start.
+SMALL_BUCKET = 8
+# Rounds in which each set is compared with the nearest that no links lead to.
+NEAREST_ROUNDS = 1
 # A bucket of more rows than this is cut into blocks, and pairs of blocks are compared apart.
 BLOCK_ROWS = 2_000
 PREFIXES = [f"prefix{order}" for order in range(1, ORDERS)]
@@ -193,8 +199,14 @@ def _postings(df: DataFrame, levels, size: int, percent: int) -> DataFrame:
 
 
 def _chains(percent: int):
-    """Per token, over rows sorted by token, n and fp: neighbours as pairs (kind 0, or 2 if they
-    are the whole bucket), and the members of buckets of three or more (kind 1)."""
+    """Per token, over rows sorted by token, class of size and fp: candidate pairs and members.
+
+    Kind 2: two sets that are the whole bucket. Kind 0, in larger buckets: each
+    set with the first of its class of size, the firsts of neighbouring classes,
+    and in small buckets all neighbours. Buckets of one group of near copies
+    have mostly the same first, so these are few pairs for each set. Kind 1: the
+    members of buckets of three or more.
+    """
 
     def out(kind, a, b, n, m):
         return pa.RecordBatch.from_arrays(
@@ -205,38 +217,51 @@ def _chains(percent: int):
     def rows(batches):
         rest, big = None, False  # the last bucket so far; whether it goes on from an earlier part
 
-        def emit(token, fp, n, first_is_big):
+        def emit(token, cls, fp, n, first_is_big):
             if len(token) == 0:
                 return
-            same = token[1:] == token[:-1]
-            pair = same & (n[:-1].astype(np.int64) * 100 >= n[1:].astype(np.int64) * percent)
-            at = np.flatnonzero(pair)
-            starts = np.flatnonzero(np.concatenate([[True], ~same]))
+            new_token = np.diff(token, prepend=token[0] - 1) != 0
+            new_class = new_token | (np.diff(cls, prepend=cls[0]) != 0)
+            starts = np.flatnonzero(new_token)
             sizes = np.diff(np.append(starts, len(token)))
-            many = sizes >= 3
+            size = np.repeat(sizes, sizes)
             if first_is_big:
-                many[0] = True
-            keep = np.repeat(many, sizes)
-            yield out(np.where(keep[at], 0, 2), fp[at], fp[at + 1], n[at], n[at + 1])
+                size[:sizes[0]] = len(token) + SMALL_BUCKET
+            at = np.arange(len(token))
+            first = np.maximum.accumulate(np.where(new_class, at, 0))
+            # The first of the class, or of the class before for the first itself.
+            other = np.where(new_class, first[np.maximum(at - 1, 0)], first)
+            small = (size <= SMALL_BUCKET) & ~new_token
+            left = np.concatenate([other[~new_token], at[small] - 1])
+            right = np.concatenate([at[~new_token], at[small]])
+            lo, hi = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+            near = (left != right) & (lo.astype(np.int64) * 100 >= hi.astype(np.int64) * percent)
+            left, right, lo, hi = left[near], right[near], lo[near], hi[near]
+            twice = np.unique(left * len(token) + right, return_index=True)[1]
+            left, right, lo, hi = left[twice], right[twice], lo[twice], hi[twice]
+            yield out(np.where(size[left] == 2, 2, 0), fp[left], fp[right], lo, hi)
+            keep = size >= 3
             yield out(np.ones(keep.sum()), token[keep], fp[keep], n[keep], n[keep])
 
         for batch in batches:
-            token, fp, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
             if rest is not None:
-                token, fp, n = (np.concatenate([x, y]) for x, y in zip(rest, (token, fp, n)))
+                columns = [np.concatenate([x, y]) for x, y in zip(rest, columns)]
+            token, _, fp, _ = columns
             if len(token) == 0:
                 continue
             fresh = np.ones(len(token), bool)
             fresh[1:] = (token[1:] != token[:-1]) | (fp[1:] != fp[:-1])
-            token, fp, n = token[fresh], fp[fresh], n[fresh]
+            columns = [c[fresh] for c in columns]
+            token = columns[0]
             last = int(np.searchsorted(token, token[-1]))
             if last == 0 and len(token) > 1_000_000:  # write a part of it, go on from its last row
-                yield from emit(token[:-1], fp[:-1], n[:-1], True)
-                rest, big = (token[-2:], fp[-2:], n[-2:]), True
+                yield from emit(*[c[:-1] for c in columns], True)
+                rest, big = [c[-1:] for c in columns], True
                 continue
-            yield from emit(token[:last], fp[:last], n[:last], big)
+            yield from emit(*[c[:last] for c in columns], big)
             big = big and last == 0
-            rest = (token[last:], fp[last:], n[last:])
+            rest = [c[last:] for c in columns]
         if rest is not None:
             yield from emit(*rest, big)
 
@@ -250,32 +275,29 @@ def _cross_pairs(percent: int):
         rest = None
 
         def emit(token, side, fp, n, comp):
-            edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if end - begin < 2:
-                    continue
-                most = np.searchsorted(
-                    n[begin:end].astype(np.int64) * percent,
-                    n[begin:end].astype(np.int64) * 100, side="right",
-                )
-                left, right, less, more = [], [], [], []
-                for i, stop in enumerate(most.tolist()):
-                    if stop > i + 1:
-                        of = slice(begin + i + 1, begin + stop)
-                        other = comp[of] != comp[begin + i]
-                        # Two different blocks: pairs inside either have a place of their own.
-                        other &= (side[of] != side[begin + i]) | (side[begin + i] == 2)
-                        found = fp[of][other]
-                        if len(found):
-                            left.append(np.full(len(found), fp[begin + i]))
-                            right.append(found)
-                            less.append(np.full(len(found), n[begin + i]))
-                            more.append(n[of][other])
-                if left:
+            n = n.astype(np.int64)
+            # All rows against those so many places behind, as long as any are in reach.
+            at, distance = np.arange(len(token)), 0
+            left, right, waiting = [], [], 0
+            while len(at):
+                distance += 1
+                at = at[at + distance < len(token)]
+                to = at + distance
+                # Behind a set too large for this one there are only larger ones.
+                reach = (token[at] == token[to]) & (n[at] * 100 >= n[to] * percent)
+                at, to = at[reach], to[reach]
+                # Two different blocks: pairs inside either have a place of their own.
+                apart = (comp[at] != comp[to]) & ((side[at] != side[to]) | (side[at] == 2))
+                if apart.any():
+                    left.append(at[apart])
+                    right.append(to[apart])
+                    waiting += len(left[-1])
+                if left and (waiting >= 200_000 or not len(at)):
+                    a, b = np.concatenate(left), np.concatenate(right)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in (left, right, less, more)],
-                        ["a", "b", "n", "m"],
+                        [pa.array(c) for c in (fp[a], fp[b], n[a], n[b])], ["a", "b", "n", "m"]
                     )
+                    left, right, waiting = [], [], 0
 
         for batch in batches:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
@@ -381,21 +403,24 @@ class _Join(NamedTuple):
     size: int
     percent: int
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Pairs that share prefix tokens under every order, and then are similar enough."""
-        agree = store(pairs.distinct(), "candidates")
-        short = store(
-            _further_prefixes(
-                self.base, small_side(store(_ends(agree), "ends")), self.levels, self.size, self.percent
-            ), "prefixes",
+    def prefixes_of(self, pairs: DataFrame) -> DataFrame:
+        ends = small_side(store(_ends(pairs), "ends"))
+        return store(
+            _further_prefixes(self.base, ends, self.levels, self.size, self.percent), "prefixes"
         )
+
+    def sets_of(self, pairs: DataFrame) -> DataFrame:
+        return _whole_sets(self.base, _ends(pairs), self.sets, self.size)
+
+    def verified(self, pairs: DataFrame, short: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+        """Pairs that share prefix tokens under every order, and then are similar enough."""
+        both = _both_sides(pairs, short, ["n", "lost", *PREFIXES])
+        least = _least_shared(F.col("n_a"), F.col("n_b"), self.percent)
+        least = F.greatest(F.lit(1), least - F.col("lost_a") - F.col("lost_b"))
         for prefix in PREFIXES:
-            both = _both_sides(agree, short, ["n", "lost", prefix])
-            shared = F.size(F.array_intersect(f"{prefix}_a", f"{prefix}_b"))
-            least = _least_shared(F.col("n_a"), F.col("n_b"), self.percent)
-            enough = shared >= F.greatest(F.lit(1), least - F.col("lost_a") - F.col("lost_b"))
-            agree = store(both.where(enough).select("a", "b"), "filtered")
-        whole = _whole_sets(self.base, _ends(agree), self.sets, self.size)
+            both = both.where(F.size(F.array_intersect(f"{prefix}_a", f"{prefix}_b")) >= least)
+        agree = store(both.select("a", "b"), "filtered")
+        whole = self.sets_of(agree) if whole is None else whole
         both = _both_sides(agree, whole, ["n", "tokens"])
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
         union = F.col("n_a") + F.col("n_b") - F.col("_common")
@@ -437,12 +462,14 @@ def similar_sets(
     sets = made.where(F.col("cell").isNull()).select("id", "key", "n", "fp")
     levels = spark.sparkContext.broadcast(_levels(made.where(F.col("cell").isNotNull())))
 
-    # First the neighbours in every bucket: a group of near copies falls together by
+    # First a few pairs of every bucket: a group of near copies falls together by
     # these, at a cost linear in the postings.
     buckets = (
         _postings(base, levels, size, percent)
         .repartition("token")
-        .sortWithinPartitions("token", "n", "fp")
+        .withColumn("cls", F.floor(F.log("n") * CLASSES_OF_SIZE).cast("int"))
+        .select("token", "cls", "fp", "n")
+        .sortWithinPartitions("token", "cls", "fp")
     )
     found = store(
         map_batches(buckets, _chains(percent), "kind byte, a long, b long, n int, m int"), "buckets"
@@ -461,10 +488,34 @@ def similar_sets(
         F.col("a").alias("token"), F.col("b").alias("fp"), "n"
     )
     join = _Join(base, sets, levels, size, percent)
-    first = join.verified(neighbours)
+    links = join.verified(neighbours, join.prefixes_of(neighbours))
+
+    # Then what the links so far don't connect: some rounds of each set with the one it shares
+    # most prefix tokens with, and after that all that are still apart.
+    tested, short, whole = neighbours, None, None
+    for turn in range(NEAREST_ROUNDS + 1):
+        apart = _crossing(members, links, found, ordered, least, percent)
+        apart = store(apart.join(tested, ["a", "b"], "left_anti"), "crossing")
+        if short is None:
+            short, whole = join.prefixes_of(apart), join.sets_of(apart)
+        if turn < NEAREST_ROUNDS:
+            toward = apart.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared")
+            toward = toward.unionByName(
+                apart.select(F.col("b").alias("x"), F.col("a").alias("y"), "shared")
+            )
+            apart = toward.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
+            apart = store(
+                apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
+                "nearest",
+            )
+            tested = tested.unionByName(apart)
+        links = links.unionByName(join.verified(apart, short, whole))
+    return sets, links
+
 
-    # Then what is left: pairs in a bucket that the links so far don't connect.
-    known = store(components(first), "components").select(
+def _crossing(members, links, found, ordered, least, percent: int) -> DataFrame:
+    """``a, b, shared``: sets with enough common prefix tokens that the links don't connect."""
+    known = store(components(links), "components").select(
         F.col("node").alias("_node"), F.col("component").alias("_component")
     )
     members = store(
@@ -494,19 +545,16 @@ def similar_sets(
         "fp", "n", "comp",
     )
     placed = placed.repartition("place").sortWithinPartitions("place", "n", "fp")
-    rest = map_batches(placed, _cross_pairs(percent), "a long, b long, n int, m int")
+    rest = map_batches(placed, _cross_pairs(percent), "a long, b long, n long, m long")
     # Every bucket that two sets share has been looked into: their common prefix tokens are counted.
     counted = ordered(rest).withColumn("crossing", F.lit(True)).unionByName(
         ordered(found.where("kind = 2")).withColumn("crossing", F.lit(False))
     )
-    rest = (
+    return (
         counted.groupBy("a", "b")
         .agg(F.max("crossing").alias("crossing"), F.count("*").alias("shared"), least.alias("least"))
-        .where("crossing and shared >= least").select("a", "b")
-        .join(neighbours, ["a", "b"], "left_anti")
+        .where("crossing and shared >= least").select("a", "b", "shared")
     )
-    second = join.verified(rest)
-    return sets, first.unionByName(second)
 
 
 def near_duplicates(
@@ -528,8 +576,8 @@ def near_duplicates(
     one order, and must also share prefix tokens (as many as follow from their
     sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
     keeps passages that many documents share out of the prefixes. Candidates
-    are first the neighbours (by size) in every bucket, then all pairs that the
-    links found so far don't connect. So a group of n near copies costs n, not
+    are first each set with the first of its size in every bucket, then all
+    pairs that the links found so far don't connect. So a group of n near copies costs n, not
     n^2; large buckets with several groups are compared in pairs of blocks.
     No bucket is capped.
 
