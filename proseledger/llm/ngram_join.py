@@ -26,7 +26,7 @@ CLASSES_OF_SIZE = 7.0
 # In buckets up to this size all neighbours are compared from the start.
 SMALL_BUCKET = 8
 # Rounds in which each set is compared with the nearest that no links lead to.
-NEAREST_ROUNDS = 1
+NEAREST_ROUNDS = 0
 # A bucket of more rows than this is cut into blocks, and pairs of blocks are compared apart.
 BLOCK_ROWS = 2_000
 PREFIXES = [f"prefix{order}" for order in range(1, ORDERS)]
@@ -199,13 +199,10 @@ def _postings(df: DataFrame, levels, size: int, percent: int) -> DataFrame:
 
 
 def _chains(percent: int):
-    """Per token, over rows sorted by token, class of size and fp: candidate pairs and members.
+    """Per token, over rows sorted by token, n and fp: candidate pairs and members.
 
-    Kind 2: two sets that are the whole bucket. Kind 0, in larger buckets: each
-    set with the first of its class of size, the firsts of neighbouring classes,
-    and in small buckets all neighbours. Buckets of one group of near copies
-    have mostly the same first, so these are few pairs for each set. Kind 1: the
-    members of buckets of three or more.
+    Kind 2: two sets that are the whole bucket. Kind 0: neighbours in other
+    small buckets. Kind 1: the members of buckets of three or more.
     """
 
     def out(kind, a, b, n, m):
@@ -217,37 +214,29 @@ def _chains(percent: int):
     def rows(batches):
         rest, big = None, False  # the last bucket so far; whether it goes on from an earlier part
 
-        def emit(token, cls, fp, n, first_is_big):
+        def emit(token, fp, n, first_is_big):
             if len(token) == 0:
                 return
             new_token = np.diff(token, prepend=token[0] - 1) != 0
-            new_class = new_token | (np.diff(cls, prepend=cls[0]) != 0)
             starts = np.flatnonzero(new_token)
             sizes = np.diff(np.append(starts, len(token)))
             size = np.repeat(sizes, sizes)
             if first_is_big:
                 size[:sizes[0]] = len(token) + SMALL_BUCKET
-            at = np.arange(len(token))
-            first = np.maximum.accumulate(np.where(new_class, at, 0))
-            # The first of the class, or of the class before for the first itself.
-            other = np.where(new_class, first[np.maximum(at - 1, 0)], first)
-            small = (size <= SMALL_BUCKET) & ~new_token
-            left = np.concatenate([other[~new_token], at[small] - 1])
-            right = np.concatenate([at[~new_token], at[small]])
+            right = np.flatnonzero((size <= SMALL_BUCKET) & ~new_token)
+            left = right - 1
             lo, hi = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-            near = (left != right) & (lo.astype(np.int64) * 100 >= hi.astype(np.int64) * percent)
+            near = lo.astype(np.int64) * 100 >= hi.astype(np.int64) * percent
             left, right, lo, hi = left[near], right[near], lo[near], hi[near]
-            twice = np.unique(left * len(token) + right, return_index=True)[1]
-            left, right, lo, hi = left[twice], right[twice], lo[twice], hi[twice]
             yield out(np.where(size[left] == 2, 2, 0), fp[left], fp[right], lo, hi)
             keep = size >= 3
             yield out(np.ones(keep.sum()), token[keep], fp[keep], n[keep], n[keep])
 
         for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
             if rest is not None:
                 columns = [np.concatenate([x, y]) for x, y in zip(rest, columns)]
-            token, _, fp, _ = columns
+            token, fp, _ = columns
             if len(token) == 0:
                 continue
             fresh = np.ones(len(token), bool)
@@ -467,9 +456,7 @@ def similar_sets(
     buckets = (
         _postings(base, levels, size, percent)
         .repartition("token")
-        .withColumn("cls", F.floor(F.log("n") * CLASSES_OF_SIZE).cast("int"))
-        .select("token", "cls", "fp", "n")
-        .sortWithinPartitions("token", "cls", "fp")
+        .sortWithinPartitions("token", "n", "fp")
     )
     found = store(
         map_batches(buckets, _chains(percent), "kind byte, a long, b long, n int, m int"), "buckets"
@@ -479,14 +466,16 @@ def similar_sets(
     )
     least = _least_shared(F.max("n").cast("long"), F.max("m").cast("long"), percent)
     # A pair that is alone in all its buckets has been counted; others may share more.
+    members = found.where("kind = 1").select(
+        F.col("a").alias("token"), F.col("b").alias("fp"), "n"
+    )
     neighbours = store(
-        ordered(found.where("kind <> 1"), "kind").groupBy("a", "b")
+        ordered(found.where("kind <> 1"), "kind").unionByName(
+            ordered(_with_hubs(members, percent).withColumn("kind", F.lit(0).cast("byte")), "kind")
+        ).groupBy("a", "b")
         .agg(F.min("kind").alias("kind"), F.count("*").alias("shared"), least.alias("least"))
         .where("kind = 0 or shared >= least").select("a", "b"), "neighbours",
     )
-    members = found.where("kind = 1").select(
-        F.col("a").alias("token"), F.col("b").alias("fp"), "n"
-    )
     join = _Join(base, sets, levels, size, percent)
     links = join.verified(neighbours, join.prefixes_of(neighbours))
 
@@ -513,6 +502,42 @@ def similar_sets(
     return sets, links
 
 
+def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each member with the hub of its size in every bucket, and of these with the bucket's.
+
+    The hub is the set whose buckets hold most members together. Of near copies
+    it is one without changes of its own, which is nearest to the others.
+    """
+    sizes = members.groupBy("token").agg(F.count("*").alias("_size")).withColumnRenamed("token", "_token")
+    reach = (
+        members.join(sizes, F.col("token") == F.col("_token"))
+        .groupBy(F.col("fp").alias("_fp")).agg(F.sum("_size").alias("reach"))
+    )
+    reach = store(reach, "reach")
+    ranked = store(
+        members.withColumn("cls", F.floor(F.log("n") * CLASSES_OF_SIZE).cast("int"))
+        .join(reach, F.col("fp") == F.col("_fp")).drop("_fp"), "ranked",
+    )
+    best = F.max_by(F.struct("fp", "n"), F.struct("reach", "fp"))
+    hubs = store(
+        ranked.groupBy(F.col("token").alias("_token"), F.col("cls").alias("_cls"))
+        .agg(best.alias("hub"), F.max("reach").alias("reach")), "hubs",
+    )
+    tops = hubs.groupBy(F.col("_token").alias("_of")).agg(
+        F.max_by("hub", F.struct("reach", "hub")).alias("top")
+    )
+    to_hub = ranked.join(
+        hubs.drop("reach"), (F.col("token") == F.col("_token")) & (F.col("cls") == F.col("_cls"))
+    ).select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"), F.col("n"), F.col("hub.n").alias("m"))
+    to_top = hubs.join(tops, F.col("_token") == F.col("_of")).select(
+        F.col("hub.fp").alias("a"), F.col("top.fp").alias("b"), F.col("hub.n").alias("n"), F.col("top.n").alias("m")
+    )
+    pairs = to_hub.unionByName(to_top).where("a <> b").select(
+        "a", "b", F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m")
+    )
+    return pairs.where(f"100 * n >= {percent} * m").distinct()
+
+
 def _crossing(members, links, found, ordered, least, percent: int) -> DataFrame:
     """``a, b, shared``: sets with enough common prefix tokens that the links don't connect."""
     known = store(components(links), "components").select(
@@ -576,8 +601,8 @@ def near_duplicates(
     one order, and must also share prefix tokens (as many as follow from their
     sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
     keeps passages that many documents share out of the prefixes. Candidates
-    are first each set with the first of its size in every bucket, then all
-    pairs that the links found so far don't connect. So a group of n near copies costs n, not
+    are first each set with the hub of its size in every bucket, then all pairs
+    that the links found so far don't connect. So a group of n near copies costs n, not
     n^2; large buckets with several groups are compared in pairs of blocks.
     No bucket is capped.
 
