@@ -154,7 +154,10 @@ def dedup_lines(
     own = F.xxhash64(
         F.coalesce(F.col(f"c{names.index(id_col)}").cast("string"), F.lit("NULL")), f"c{at_text}"
     )
-    joined = base.withColumn("_doc", own).join(cuts, F.col("_doc") == F.col("_of"), "left")
+    joined = base.withColumn("_doc", own).join(
+        # The cuts grow with the texts: never broadcast.
+        cuts.hint("merge"), F.col("_doc") == F.col("_of"), "left"
+    )
     joined = joined.drop("_doc", "_of")
     fields = [df.schema[name] for name in names]
     fields[at_text] = StructField(text_col, StringType(), True)

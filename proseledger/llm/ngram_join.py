@@ -263,7 +263,7 @@ def _cross_pairs(percent: int):
     def rows(batches):
         rest = None
 
-        def emit(token, side, fp, n, comp):
+        def emit(token, side, fp, n, comp, held):
             n = n.astype(np.int64)
             # All rows against those so many places behind, as long as any are in reach.
             at, distance = np.arange(len(token)), 0
@@ -277,6 +277,10 @@ def _cross_pairs(percent: int):
                 at, to = at[reach], to[reach]
                 # Two different blocks: pairs inside either have a place of their own.
                 apart = (comp[at] != comp[to]) & ((side[at] != side[to]) | (side[at] == 2))
+                # Neither shares more tokens with any other than it has in buckets.
+                common = -(-percent * (n[at] + n[to]) // (100 + percent))
+                need = common + (-percent * np.maximum(n[at], n[to]) // 100) + 1
+                apart &= np.minimum(held[at], held[to]) >= need
                 if apart.any():
                     left.append(at[apart])
                     right.append(to[apart])
@@ -289,7 +293,7 @@ def _cross_pairs(percent: int):
                     left, right, waiting = [], [], 0
 
         for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
             if rest is not None:
                 columns = [np.concatenate([x, y]) for x, y in zip(rest, columns)]
             if len(columns[0]) == 0:
@@ -555,6 +559,13 @@ def _crossing(members, links, found, ordered, least, percent: int) -> DataFrame:
         .select(F.col("token").alias("_of"), F.ceil(F.col("_rows") / BLOCK_ROWS).alias("_blocks")),
         "mixed",
     )
+    # How many prefix tokens of a set others have too.
+    held = (
+        members.select("fp")
+        .unionByName(found.where("kind = 2").select(F.explode(F.array("a", "b")).alias("fp")))
+        .groupBy(F.col("fp").alias("_fp")).agg(F.count("*").alias("held"))
+    )
+    members = members.join(held, F.col("fp") == F.col("_fp")).drop("_fp")
     inside = members.join(mixed, F.col("token") == F.col("_of")).withColumn(
         "_block", F.pmod(F.xxhash64("fp"), F.col("_blocks"))
     )
@@ -567,7 +578,7 @@ def _crossing(members, links, found, ordered, least, percent: int) -> DataFrame:
         ).alias("place"),
         F.when(F.col("_block") == F.col("_other"), 2)
         .when(F.col("_block") < F.col("_other"), 0).otherwise(1).cast("int").alias("side"),
-        "fp", "n", "comp",
+        "fp", "n", "comp", "held",
     )
     placed = placed.repartition("place").sortWithinPartitions("place", "n", "fp")
     rest = map_batches(placed, _cross_pairs(percent), "a long, b long, n long, m long")
