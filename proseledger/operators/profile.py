@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.shared import reused, store
+from .correlation import pearson
 from .quantiles import QUANTILES, long_form, quantiles
 from .skew import MAX_GROUP_ROWS
 
@@ -111,12 +112,22 @@ def mixed_stats(
     df: DataFrame, length: str, words: str, rating: str, accuracy: int | None = None
 ) -> DataFrame:
     """Mean, deviation and skewness of one column, mean of another, their correlation,
-    and the median of a third."""
-    median = quantiles(df, [rating], {"median": 0.5}, accuracy).select("median").scalar()
-    return df.agg(
+    and the median of a third (NULL for the correlation with a constant column).
+
+    With ``accuracy`` all of it is one aggregate of one scan; the exact median
+    needs the distinct values counted first.
+    """
+    approximate = accuracy is not None
+    middle = F.percentile_approx(rating, 0.5, accuracy) if approximate else F.lit(None)
+    stats = df.agg(
         F.avg(length).alias("mean_length"),
         F.stddev(length).alias("std_length"),
         F.skewness(length).alias("skew_length"),
         F.avg(words).alias("mean_words"),
-        F.corr(length, words).alias("corr_length_words"),
-    ).withColumn("median_rating", median)
+        pearson(F.col(length), F.col(words)).alias("corr_length_words"),
+        middle.cast("double").alias("median_rating"),
+    )
+    if approximate:
+        return stats
+    median = quantiles(df, [rating], {"median": 0.5}).select("median").scalar()
+    return stats.withColumn("median_rating", median)

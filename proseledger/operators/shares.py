@@ -9,7 +9,10 @@ from .skew import MAX_BROADCAST_ROWS, attach
 
 
 def group_shares(df: DataFrame, group: str, amount: str) -> DataFrame:
-    """One row per group: its sum, the total of all groups, its share in percent."""
+    """One row per group: its sum, the total of all groups, its share in percent.
+
+    With amounts of both signs a share may be out of the range of decimal(5,2): NULL then.
+    """
     return _shares(df, group, amount).drop("_rows")
 
 
@@ -20,7 +23,7 @@ def _shares(df: DataFrame, group: str, amount: str) -> DataFrame:
     total = groups.agg(F.sum("group_sum")).scalar()
     percent = F.try_divide("group_sum", "total_sum") * 100
     return groups.withColumn("total_sum", total).withColumn(
-        "percent_of_total", percent.cast("decimal(5,2)")
+        "percent_of_total", percent.try_cast("decimal(5,2)")
     )
 
 
