@@ -58,6 +58,8 @@ def profile(
 
     Moments and quantiles each scan the columns. ``persist`` is how the columns
     are kept in between; None suits a table that holds them ready to be read.
+
+    Values are taken as doubles, so integers above 2^53 lose their last digits.
     """
     with reused(df.select(*columns), persist) as numbers:
         # Both tables have one row per profiled column.

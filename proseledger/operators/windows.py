@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..sources.shared import store
 from .skew import (
     CHUNK,
-    MAX_BROADCAST_ROWS,
     MAX_GROUP_ROWS,
     Large,
     by_group_size,
@@ -53,7 +52,8 @@ def running_sum(
         earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(BEFORE, -1)
         carried = chunked.groupBy(*keys, CHUNK).agg(F.sum(value).alias("_sum"))
         carried = carried.select(*keys, CHUNK, F.sum("_sum").over(earlier).alias("_carried"))
-        joined = join_on_groups(chunked, carried, [*keys, CHUNK], broadcast=True)
+        is_small = found.is_small(found.parts)
+        joined = join_on_groups(chunked, carried, [*keys, CHUNK], broadcast=is_small)
         total = F.coalesce(F.col("_carried") + F.col("_here"), "_carried", "_here")
         return joined.withColumn(name, total).drop(CHUNK, "_here", "_carried")
 
@@ -105,7 +105,10 @@ def near_rows(
         ends = ends.select(
             *keys, CHUNK, "_place", F.struct(*[c.alias(n) for n, c in across.items()]).alias("_at_end")
         )
-        is_small = 4 * reach * found.parts <= 10 * MAX_BROADCAST_ROWS
+        # Places of one chunk are different rows, so a shuffle by them is even.
+        kinds = dict(rows.dtypes)
+        narrow = not any(kinds[i].startswith(("string", "binary", "array", "map", "struct")) for i in inputs)
+        is_small = narrow and found.is_small(4 * reach * found.parts)
         joined = join_on_groups(chunked, ends, [*keys, CHUNK, "_place"], "left", is_small)
         chosen = {n: F.when(near_end(reach), F.col(f"_at_end.{n}")).otherwise(F.col(n)) for n in names}
         return joined.withColumns(chosen).drop(CHUNK, "_place", "_size", "_at_end")
@@ -215,7 +218,8 @@ def ranks(
         )
         chunked = store(chunked, "ranks")
         joined = join_on_groups(
-            chunked, _rank_offsets(chunked, group, value), [*group, CHUNK], broadcast=True
+            chunked, _rank_offsets(chunked, group, value), [*group, CHUNK],
+            broadcast=found.is_small(found.parts),
         )
         goes_on = F.col("_continues") & (F.col("_dense") == 1)
         return joined.withColumns(

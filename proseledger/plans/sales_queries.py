@@ -137,21 +137,23 @@ def run_top_by_rank(spark, folder):
     return first.drop("o_orderkey")
 
 
-def run_window_report(spark, folder):
+def run_window_report(**limit):
     """All window columns on every sale of a positive amount, by customer."""
-    df = orders(spark, folder).select(
-        "o_orderkey",
-        F.col("o_orderdate").alias("order_date"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderpriority").alias("region"),
-    )
-    df, roles = with_roles(df)
-    report = window_report(df, roles, "o_orderkey").where(F.col(roles.amount) > 0)
-    return comparable(
-        report.drop("order_date").withColumnRenamed("order_date_ts", "day").orderBy("customer_id"),
-        CENTS,
-    )
+
+    def run(spark, folder):
+        df = orders(spark, folder).select(
+            "o_orderkey",
+            F.col("o_orderdate").alias("order_date"),
+            F.col("o_totalprice").alias("amount"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderpriority").alias("region"),
+        )
+        df, roles = with_roles(df)
+        report = window_report(df, roles, "o_orderkey", **limit).where(F.col(roles.amount) > 0)
+        report = report.drop("order_date").withColumnRenamed("order_date_ts", "day")
+        return comparable(report.orderBy("customer_id"), CENTS)
+
+    return run
 
 
 WINDOW_REPORT_SQL = """
@@ -244,6 +246,25 @@ def run_share_rows(spark, folder):
     return comparable(share_of_total(df, "o_orderpriority", "o_totalprice"), 2)
 
 
+def run_share_signed(spark, folder):
+    """Every second amount negated: shares of either sign, NULL where out of range."""
+    amount = F.when(F.col("o_orderkey") % 2 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    df = orders(spark, folder).select("o_orderpriority", amount.alias("amount"))
+    shares = group_shares(df, "o_orderpriority", "amount")
+    # The total is near 0: its last digits depend on the order of the additions.
+    return comparable(shares.select("o_orderpriority", "group_sum", "percent_of_total"), 2)
+
+
+SHARES_SIGNED_SQL = """
+    WITH s AS (SELECT o_orderpriority,
+                      CASE o_orderkey % 2 WHEN 0 THEN -o_totalprice ELSE o_totalprice END AS amount
+               FROM orders),
+    g AS (SELECT o_orderpriority, sum(amount) AS gs FROM s GROUP BY 1)
+    SELECT o_orderpriority, round(gs, 2) AS group_sum,
+           CAST(TRY_CAST(gs / (SELECT sum(amount) FROM s) * 100 AS DECIMAL(5, 2)) AS DOUBLE)
+               AS percent_of_total FROM g"""
+
+
 def run_share_distinct(spark, folder):
     """The distinct shares found on the rows: the same as the shares of the groups."""
     df = orders(spark, folder).select("o_orderpriority", "o_totalprice")
@@ -321,7 +342,8 @@ QUERIES = {
         f"""SELECT o_orderpriority, o_totalprice, rank_in_group, dense_rank_in_group
             FROM ({RANKS_SQL}) ORDER BY o_orderpriority, rank_in_group, o_orderkey LIMIT 10""",
     ),
-    "window_report": Query(run_window_report, WINDOW_REPORT_SQL),
+    "window_report": Query(run_window_report(), WINDOW_REPORT_SQL),
+    "window_report_large_groups": Query(run_window_report(max_group_rows=12), WINDOW_REPORT_SQL),
     "window_report_reviews": Query(run_review_report, REVIEW_REPORT_SQL),
     "share_of_total": Query(run_shares, SHARES_SQL),
     "share_of_total_join": Query(
@@ -333,6 +355,7 @@ QUERIES = {
                        AS DECIMAL(5, 2)) AS DOUBLE) AS percent_of_total
            FROM orders WINDOW g AS (PARTITION BY o_orderpriority)""",
     ),
+    "share_of_total_signed": Query(run_share_signed, SHARES_SIGNED_SQL),
     "share_of_total_distinct": Query(run_share_distinct, SHARES_SQL),
     "share_of_total_many_groups": Query(
         run_share_many_groups,

@@ -114,6 +114,19 @@ def run_csv_text_roundtrip(spark, folder):
     return back.select("doc_id", F.md5("text").alias("text_md5"), "lang")
 
 
+def run_csv_empty_texts(spark, folder):
+    """Empty texts and NULL ones stay apart through CSV."""
+    path = new_path(spark, "empty_csv")
+    doc_id = F.col("doc_id")
+    text = F.when(doc_id % 5 == 0, "").when(doc_id % 5 != 1, F.col("text"))
+    df = table(spark, folder, "documents").select("doc_id", text.alias("text"))
+    write_csv(df, path)
+    back = read_csv(spark, path, df.schema, multiline=True)
+    return back.select(
+        "doc_id", F.md5("text").alias("text_md5"), (F.col("text") == "").alias("is_empty")
+    )
+
+
 def run_csv_labelled(spark, folder):
     """Scored rows in from CSV with inferred types, the label added, out to CSV again."""
     source, target = new_path(spark, "scored_csv"), new_path(spark, "labelled_csv")
@@ -265,6 +278,12 @@ QUERIES = {
     "csv_text_roundtrip": Query(
         run_csv_text_roundtrip, "SELECT doc_id, md5(text) AS text_md5, lang FROM documents"
     ),
+    "csv_empty_texts": Query(
+        run_csv_empty_texts,
+        """SELECT doc_id, md5(t) AS text_md5, t = '' AS is_empty
+           FROM (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE text END AS t
+                 FROM documents)""",
+    ),
     "csv_labelled": Query(run_csv_labelled, LABELS_SQL),
     "json_report": Query(run_json_report, None),
     "text_report": Query(

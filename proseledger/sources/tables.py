@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # What makes a CSV file give back the strings that went in: Spark's defaults trim
-# blanks on writing and escape quotes in a way of their own. An empty string still
-# comes back as NULL, since an empty field stands for both.
+# blanks on writing and escape quotes in a way of their own. NULL is written as an
+# empty field and an empty string as an empty field in quotes. The reader knows them
+# apart if NULL has a name other than the empty string; it is a code point that
+# Unicode keeps out of text.
 CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+EMPTY_IS_TEXT = {"nullValue": "\ufdd0", "emptyValue": ""}
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -24,13 +27,16 @@ def read_csv(
     schema: StructType | str | None = None,
     header: bool = True,
     multiline: bool = False,
+    empty_is_null: bool = False,
 ) -> DataFrame:
     """Read CSV. Without a schema the types are inferred, which reads the files twice.
 
     Fields with line breaks need ``multiline``, and then a file can't be split
-    between tasks: write such tables as many files.
+    between tasks: write such tables as many files. An empty field is NULL and
+    an empty field in quotes an empty string, or NULL too with ``empty_is_null``.
     """
-    reader = spark.read.options(header=header, multiLine=multiline, **CSV)
+    options = CSV if empty_is_null else CSV | EMPTY_IS_TEXT
+    reader = spark.read.options(header=header, multiLine=multiline, **options)
     if schema is None:
         return reader.csv(path, inferSchema=True)
     return reader.schema(schema).csv(path)

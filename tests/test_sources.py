@@ -1,8 +1,11 @@
 """Reading, writing, roles and synthetic columns."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+from proseledger.operators import skew
 from proseledger.plans.inspect import plan_text, schema_of, write_plan
 from proseledger.sources import roles, shared, synthetic, tables
 
@@ -45,7 +48,21 @@ def test_csv_gives_back_what_went_in(spark, place):
     path = place("csv")
     tables.write_csv(spark.createDataFrame(AWKWARD, "id int, text string"), path)
     back = tables.read_csv(spark, path, "id int, text string", multiline=True)
-    assert sorted(map(tuple, back.collect())) == [(i, t or None) for i, t in AWKWARD]
+    assert sorted(map(tuple, back.collect())) == AWKWARD
+    old = tables.read_csv(spark, path, "id int, text string", multiline=True, empty_is_null=True)
+    assert sorted(map(tuple, old.collect())) == [(i, t or None) for i, t in AWKWARD]
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_the_folder_at_every_size(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, applicationId="a")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError):
+        shared.shared_folder(session)
+    with pytest.raises(RuntimeError):  # before any row is counted
+        skew.by_group_size(SimpleNamespace(sparkSession=session), ["k"], 1000, None, None)
+    context.master = "local[4]"
+    assert shared.shared_folder(session) == shared.shared_folder(session)
 
 
 def test_csv_types_are_inferred_and_header_is_optional(spark, place):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from proseledger.operators import skew, windows
 from proseledger.operators.shares import group_shares, share_of_total
+from proseledger.sources import shared
 
 SALES = [
     (1001, "C101", "2024-01-15", 150.50, "London"),
@@ -131,15 +132,18 @@ def test_rank_when_one_value_fills_many_chunks(spark):
     } == {(9.0, 1, 1), (5.0, 2, 2), (1.0, 302, 3)}
 
 
-def test_bounds_hold_when_too_many_groups_are_large(spark, monkeypatch):
-    """More large groups and chunks than allowed: the limits rise, the results stay."""
-    monkeypatch.setattr(skew, "MAX_BROADCAST_ROWS", 2)
-    monkeypatch.setattr(windows, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(skew, "MAX_CHUNKS", 3)
+@pytest.mark.parametrize("setting, bound", [("MAX_BROADCAST_ROWS", 2), ("MAX_BROADCAST_BYTES", 200)])
+def test_more_large_groups_than_may_be_broadcast(spark, monkeypatch, setting, bound):
+    """The heaviest groups are broadcast and the others shuffled; the limit of a chunk stays."""
+    monkeypatch.setattr(skew, setting, bound)
     rows = [(i, f"g{0 if i % 3 else i % 5}", f"2024-01-{i % 9 + 1:02d}", float(i % 13)) for i in range(300)]
+    rows[7] = (7, "alone", "2024-01-05", 1.0)
     df = spark.createDataFrame(rows, "id long, k string, day string, amount double")
     found = skew.large_groups(df, ["k"], 10)
-    assert [r.k for r in found.groups.collect()] == ["g0"] and found.chunks == 3
+    assert sorted(r.k for r in found.groups.collect()) == ["g0", "g1", "g2", "g3", "g4"]
+    assert found.chunks == 30 and not found.all_rows and not found.is_small(found.number)
+    rest, large = skew.split(df, ["k"], found)
+    assert [r.id for r in rest.collect()] == [7] and large.count() == 299
     order = ["day", "id"]
     df = windows.running_sum(df, ["k"], order, "amount", max_group_rows=10)
     df = windows.moving_avg_and_neighbours(df, ["k"], order, "amount", max_group_rows=10)
@@ -160,8 +164,19 @@ def test_no_chunk_task_gets_a_whole_large_group(spark):
         F.col("id"), F.lit("hot").alias("k"), (F.col("id") % 97).cast("double").alias("amount")
     )
     chunked = skew.in_chunks(df, ["k"], [F.col("amount").desc(), F.col("id")], 10)
-    sizes = [r["count"] for r in chunked.groupBy("k", "_chunk").count().collect()]
-    assert sum(sizes) == 10_000 and max(sizes) < 3_000
+    sizes = [r["count"] for r in chunked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) <= 1_500
+
+
+@pytest.mark.parametrize("limit", [50, 100])
+def test_a_chain_does_not_evaluate_its_source_again(spark, limit):
+    """The scans of the plan do not grow with the number of operators before."""
+    rows = spark.createDataFrame(skewed_rows(3), "id long, k string, day string, amount double")
+    df, scans = shared.store(rows), []
+    for i in range(4):
+        df = windows.running_sum(df, ["k"], ["day", "id"], "amount", f"sum{i}", max_group_rows=limit)
+        scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+    assert scans == scans[:1] * 4 and scans[0] <= 2
 
 
 def test_shares_by_hand(sales):
