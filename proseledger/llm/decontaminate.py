@@ -53,8 +53,9 @@ def question_and_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return words[:cut], words[cut:]
 
 
-def _trigrams(words: Sequence[bytes]) -> set:
-    return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+def _grams(words: Sequence[bytes], n: int) -> set:
+    """Each ``n`` words in a row; fewer words have none."""
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
 
 
 class Index(NamedTuple):
@@ -215,11 +216,13 @@ def leaks_in(index: Index, texts: list[bytes], threshold: float, min_question: f
         t = int(np.searchsorted(first, p, "right")) - 1
         at = (p - int(first[t])) * index.step
         own = words[t][at:at + 2 * index.step]
-        grams, bag = _trigrams(own), set(own)
+        grams, bag = {n: _grams(own, n) for n in (1, 2, 3)}, set(own)
         for item, score in found:
             _, question, answer = index.items[item]
-            asked, given = _trigrams(question), set(answer)
-            q = len(asked & grams) / len(asked) if asked else 1.0
+            # A question of one or two words is one gram of its own length.
+            n = min(3, len(question))
+            asked, given = _grams(question, n) if n else set(), set(answer)
+            q = len(asked & grams[n]) / len(asked) if asked else 1.0
             a = len(given & bag) / len(given) if given else 1.0
             if q >= min_question and a >= min_answer:
                 best[t, item] = max(best.get((t, item), (0.0, 0.0, 0.0)), (q + a, score, q))
@@ -286,7 +289,8 @@ def find_leaks(
     share of its score for itself; all items from ``threshold`` on are retrieved
     (by block-max WAND, nothing is cut off) and verified: at least
     ``min_question`` of the question's word trigrams and ``min_answer`` of the
-    answer's words must be in the passage.
+    answer's words must be in the passage. A question of one or two words must
+    be in it as it is.
 
     Returns ``_id, _key`` (hash of the text), ``item, score, question_overlap,
     answer_overlap`` of the best passage. NULL and empty texts and items without

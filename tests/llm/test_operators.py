@@ -180,6 +180,24 @@ def test_leaks(spark, docs, empty):
     assert decontaminate.find_leaks(rows, table.where("false")).count() == 0
 
 
+def test_leaks_with_a_short_question(spark):
+    answer = "Seven grey herons stood on the jetty before the rain came over the lake."
+    items = [(1, f"Herons. {answer}"), (2, f"Grey herons? {answer}"), (3, f"Who stood there? {answer}"),
+             (4, "tower"), (5, "water tower")]
+    texts = [(i, f"{LONG} {t} {LONG}") for i, t in items] + [(6, LONG), (7, "Herons"), (8, "tower of water")]
+    joined = lambda t: f" {b' '.join(decontaminate.terms_of(t.encode())).decode()} "
+    whole = {(i, k) for i, t in texts for k, item in items if joined(item) in joined(t)}
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    table = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(rows, table)
+    got = {(r._id, r.item): r for r in leaks.collect()}
+    assert whole >= {(i, i) for i, _ in items} and whole <= got.keys()
+    assert all(got[pair].question_overlap == 1 for pair in whole)
+    assert not {i for i, _ in got} & {6, 7}
+    assert (8, 4) in got and (8, 5) not in got
+    assert {r.doc_id for r in decontaminate.drop_leaked(rows, leaks).collect()} == {6, 7}
+
+
 def test_block_max_wand():
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(60)]
