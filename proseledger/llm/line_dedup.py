@@ -119,6 +119,7 @@ def dedup_lines(
     min_words: int = 8,
     id_col: str = "doc_id",
     text_col: str = "text",
+    single_words: int | None = None,
 ) -> DataFrame:
     """Delete from every text the runs of lines that occurred earlier, and add two counts.
 
@@ -126,8 +127,10 @@ def dedup_lines(
     also occurs earlier (by id, then line, in the same or another text) shares a
     fingerprint with that occurrence, whatever surrounds it. Every run around a
     repeated fingerprint is compared with the first run like it, and the lines
-    of the later ones are deleted; neighbouring runs make longer matches. All
-    lines are judged on the input. ``n_lines``: lines of the text;
+    of the later ones are deleted; neighbouring runs make longer matches. With
+    ``single_words``, every line of at least so many words that occurred earlier
+    is deleted too, whatever its neighbours; without, a line that is not part of
+    a longer run stays, however common. All lines are judged on the input. ``n_lines``: lines of the text;
     ``n_deleted``: lines deleted. Lines without a word are never deleted.
 
     A NULL text stays NULL (one line of no words, as an empty text); NULL ids
@@ -142,10 +145,10 @@ def dedup_lines(
     base = df.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     text = F.col(f"`{text_col}`")
     key = F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("NULL")), text)
-    found = repeated_runs(
-        df.select(F.col(f"`{id_col}`").alias("_id"), key.alias("_doc"), text.alias("_text")),
-        gram, window, min_words,
-    )
+    keyed = df.select(F.col(f"`{id_col}`").alias("_id"), key.alias("_doc"), text.alias("_text"))
+    found = repeated_runs(keyed, gram, window, min_words)
+    if single_words is not None:
+        found = found.unionByName(repeated_runs(keyed, 1, 1, single_words))
     cuts = store(
         found.where("from_line < to_line").distinct().groupBy(F.col("doc").alias("_of"))
         .agg(F.collect_list(F.struct("from_line", "to_line")).alias("_cuts")), "cuts",

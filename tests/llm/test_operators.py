@@ -143,6 +143,28 @@ def test_lines(docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_single_lines(spark, tmp_path):
+    common = "one line of eight words that many share"
+    texts = {1: f"a\n{common}\nb", 2: f"c\n  {common}\nd\n{common}", 3: common, 4: "few words\ne", 5: "few words\nf",
+             6: f"{common}\nsecond line after it\ng", 7: f"h\n{common}\nsecond line after it", 8: None}
+    rows = [(i, t, "en", "s", 0) for i, t in texts.items()]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    seen, expected = set(), {}
+    for i, t in texts.items():
+        left = []
+        for line in (t or "").split("\n"):
+            bare = line.strip()
+            if not (len(bare.split()) >= 8 and bare in seen):
+                left.append(line)
+            seen.add(bare)
+        expected[i] = t and "\n".join(left)
+    expected[7] = "h"  # Two lines in a row that document 6 has.
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(table, single_words=8).collect()}
+    assert got == expected
+    kept = corpus_pipeline.line_dedup_stage(spark, table, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in kept} == {i: t for i, t in expected.items() if t}
+
+
 def test_byte_strings(spark, docs, empty):
     rng = np.random.default_rng(2)
     parts = ["".join(rng.choice(list("ab"), rng.integers(5, 60))) for _ in range(25)] + ["é" * 30, "x" * 99]
