@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -102,6 +103,24 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(empty.withColumnRenamed("source", "path")).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    notices = {name: max((b for n, b in licenses.TEMPLATES if n == name), key=len)
+               for name in ("MIT", "BSD-3-Clause", "GPL-3.0")}
+    wrapped = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 60))
+    code = "\n".join(f"value{i} = compute{i}(other{i})" for i in range(200))
+    rows, expected = [], set()
+    for name, notice in notices.items():
+        rows += [(f"{name}/x/a.py", f"{wrapped('Copyright 2020 Some Body. ' + notice, '# ')}\n{code}"),
+                 (f"{name}/LICENSE", f"Title\n\n{wrapped(notice, '')} and more\n{wrapped(code, '')}"),
+                 (f"{name}/x/line.txt", f"{code.replace(chr(10), ' ')} {notice} {code.replace(chr(10), ' ')}"),
+                 (f"{name}/x/b.py", code)]
+        expected |= {(p, name, "own") for p in (f"{name}/x/a.py", f"{name}/LICENSE", f"{name}/x/line.txt")}
+        expected |= {(f"{name}/x/b.py", name, "inherited")}
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {(r.path, r.licence, r.origin) for r in got} == expected
+    assert all(r.cosine == pytest.approx(1) for r in got)
+
+
 def base_spans(text):
     out = []
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
