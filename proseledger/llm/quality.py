@@ -166,9 +166,9 @@ def quality_rules(
     ``base_failed`` (too few words, or too many in repeated 3-word windows).
     Method: the Jensen-Shannon distances of the text's character classes
     (``class_distance``) and common words (``word_distance``) from those of all
-    texts in its language. A text of at least ``guard_words`` words that is
-    further off than allowed is not kept; shorter ones are too noisy to judge
-    by their histograms, and only the base rules hold for them.
+    texts in its language. A text that is further off than allowed is not kept.
+    The histograms of short texts are noisy: below ``guard_words`` words the
+    allowed distances widen with the noise, one by the square root of the words.
 
     NULL text counts as empty: no words, base_failed. Rows with a NULL language
     are a language of their own. A text without characters or words has NULL
@@ -223,9 +223,10 @@ def quality_rules(
     base_failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")
     )
-    far = (F.col("n_words") >= guard_words) & (
-        (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance)
-        | (F.coalesce("word_distance", F.lit(0.0)) > max_word_distance)
+    noise = 1 / F.sqrt(F.greatest("n_words", F.lit(1)))
+    wider = F.greatest(noise - 1 / max(1, guard_words) ** 0.5, F.lit(0.0))
+    far = (F.coalesce("class_distance", F.lit(0.0)) > max_class_distance + wider) | (
+        F.coalesce("word_distance", F.lit(0.0)) > max_word_distance + wider
     )
     df = (
         df.withColumn("class_distance", class_distance)

@@ -271,6 +271,22 @@ def test_quality(docs, empty):
     assert quality.quality_rules(empty).count() == 0
 
 
+def test_quality_of_short_texts(spark):
+    words = [f"{a}{b}" for a in ("the", "old", "town", "river", "stone") for b in ("", "s", "es", "ing")]
+    plain = lambda i, n: " ".join(words[(7 * i + 3 * j + j * j // 20) % 20] for j in range(n))
+    texts = [(i, plain(i, 200)) for i in range(60)]
+    texts += [(100, plain(5, 60)), (101, " ".join(f"|{i}|{i * 37}|#" for i in range(60))),
+              (102, " ".join(f"#{i}|" for i in range(99))), (103, plain(3, 49)), (104, ""), (105, None)]
+    rows = spark.createDataFrame([(i, t, "en") for i, t in texts], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.quality_rules(rows, max_repeat_percent=100).collect()}
+    for r in got.values():
+        wider = max(0, 1 / math.sqrt(max(r.n_words, 1)) - 0.1)
+        far = (r.class_distance or 0) > 0.25 + wider or (r.word_distance or 0) > 0.45 + wider
+        assert r.kept == (not r.base_failed and not far)
+    assert got[100].kept and not got[101].base_failed and not got[101].kept and not got[102].kept
+    assert not got[103].kept and not got[104].kept and not got[105].kept
+
+
 def test_lm(docs, empty):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     tokens = lambda t: WORD.findall(lower(t)) + [""]
