@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import key_bytes, most_rows
 from ..sources.shared import store
 
 __all__ = ["ID", "TEXT", "documents", "narrow", "store", "text_key"]
@@ -189,3 +190,9 @@ MAX_BROADCAST_ROWS = 2_000_000
 def small_side(df: DataFrame) -> DataFrame:
     """A stored table of narrow rows, to be broadcast if its count allows, else left to a shuffle."""
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
+
+
+def bounded_side(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A stored table of keys and a few numbers, to be broadcast if its counted rows of the widest key allow."""
+    rows, widest = df.agg(F.count("*"), F.max(key_bytes(df, keys))).first()
+    return F.broadcast(df) if rows <= most_rows(widest or 0) else df
