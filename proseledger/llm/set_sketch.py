@@ -34,8 +34,9 @@ BASE = 1.2
 RATE = 20.0
 # A pair is dropped if the wanted similarity is e^10 times less likely than the likeliest.
 SLACK = 10.0
-# A bucket of more rows than this is cut into blocks, and pairs of blocks are compared apart.
+# A bucket of more rows or elements than this is cut into blocks, and pairs of blocks are compared apart.
 BLOCK_ROWS = 2_000
+BLOCK_TOKENS = 2_000_000
 # A set in more pairs than this is sent to several tasks.
 PAIR_ROWS = 4_096
 _STEPS = salted(1, 13)[0] | np.uint64(1)
@@ -113,6 +114,20 @@ def likeliest(n, m, greater, less, rounds: int = 30) -> np.ndarray:
     return (low + high) / 2
 
 
+def least_equal(percent: int) -> int:
+    """Fewer equal registers than this have a chance below e^-14 at the wanted similarity."""
+    wanted, sizes = percent / 100, np.linspace(percent / 100, 1, 21)
+    u = sizes / (1 + sizes)
+    equal = 1 - _chance(u - (1 - u) * wanted) - _chance(1 - u - u * wanted)
+    chance = min(float(equal.min()), 1 - 1e-9)
+    share = np.arange(1, REGISTERS) / REGISTERS
+    unlikely = share * np.log(share / chance) + (1 - share) * np.log((1 - share) / (1 - chance))
+    return int(np.sum((share < chance) & (REGISTERS * unlikely > 14)))
+
+
+LEAST_EQUAL = {percent: least_equal(percent) for percent in range(1, 101)}
+
+
 def may_reach(wanted: float, n, m, greater, less) -> np.ndarray:
     """Whether pairs may be as similar as wanted."""
     n, m = n.astype(float), m.astype(float)
@@ -221,9 +236,8 @@ class _Sets(NamedTuple):
 
         return store(map_batches(both, rows, "a long, b long"), "likely")
 
-    def whole(self, pairs: DataFrame) -> DataFrame:
-        """fp and all elements of the sets in pairs, each made from one document that has it."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("_end")).distinct()
+    def whole(self, ends: DataFrame) -> DataFrame:
+        """fp and all elements, sorted, of the sets in ``_end``, each made from one document that has it."""
         one = store(
             self.distinct.join(ends, F.col("fp") == F.col("_end"), "left_semi").select(
                 F.col("id").alias("_rep_id"), F.col("key").alias("_rep_key")
@@ -250,7 +264,7 @@ class _Sets(NamedTuple):
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose whole sets are similar enough."""
-        whole = self.whole(pairs)
+        whole = self.whole(pairs.select(F.explode(F.array("a", "b")).alias("_end")).distinct())
         both = _beside(_beside(pairs, "a", whole, ["n", "tokens"]), "b", whole, ["n", "tokens"])
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
         both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("_both"), common.alias("_common"))
@@ -274,109 +288,167 @@ def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 
 
-def _apart(percent: int):
-    """Per place (a bucket, or two blocks of one): pairs of different components that may be similar enough.
+def _joined(found: np.ndarray, at: int, other: int) -> bool:
+    """Join two components of a place; False if they were one already."""
+    def root(x: int) -> int:
+        while found[x] != x:
+            found[x] = found[found[x]]
+            x = found[x]
+        return x
+
+    a, b = root(at), root(other)
+    found[max(a, b)] = min(a, b)
+    return a != b
+
 
-    A pair comes out at the first band in which it agrees. Only pairs are
-    written that pass by their sketches.
+def _candidates(percent: int, band, side, n, comp, sketch):
+    """Pairs (one row, several others) of different components that may be similar enough.
+
+    Each component is held against all larger ones, so a bucket that is nearly one
+    costs little. A pair is left to the first band in which it agrees.
     """
     wanted = percent / 100
-
-    def pairs_of(band, side, fp, n, comp, sketch):
-        order = np.argsort(comp, kind="stable")
-        side, fp, n, comp, sketch = (x[order] for x in (side, fp, n, comp, sketch))
-        starts = np.flatnonzero(np.diff(comp, prepend=comp[0] - 1))
-        ends = np.append(starts[1:], len(comp))
-        bands = bands_of(sketch)
-        # Each component against all larger ones: a bucket that is nearly one costs little.
-        by_size = np.argsort(ends - starts, kind="stable")
-        rank = np.empty(len(by_size), np.int64)
-        rank[by_size] = np.arange(len(by_size))
-        rank = np.repeat(rank, ends - starts)
-        for at in np.flatnonzero(rank < len(by_size) - 1):
-            other = np.flatnonzero(
-                (rank > rank[at])
-                & ((side != side[at]) | (side == 2))
-                & (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]))
-            )
-            if not len(other):
-                continue
-            other = other[(bands[other, :band] != bands[at, :band]).all(1)]
+    parts, which, rows = np.unique(comp, return_inverse=True, return_counts=True)
+    rank = np.empty(len(parts), np.int64)
+    rank[np.argsort(rows, kind="stable")] = np.arange(len(parts))
+    rank = rank[which]
+    bands = bands_of(sketch)
+    for at in np.flatnonzero(rank < len(parts) - 1):
+        other = np.flatnonzero(
+            (rank > rank[at])
+            & ((side != side[at]) | (side == 2))
+            & (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]))
+        )
+        other = other[(bands[other, :band] != bands[at, :band]).all(1)]
+        x, y = sketch[at], sketch[other]
+        other = other[(x == y).sum(1) >= LEAST_EQUAL[percent]]
+        if len(other):
             x, y = sketch[at], sketch[other]
             keep = may_reach(wanted, np.full(len(other), n[at]), n[other], (x > y).sum(1), (x < y).sum(1))
             other = other[keep]
-            if len(other):
-                yield np.full(len(other), fp[at]), fp[other]
+        if len(other):
+            yield at, other
 
-    def rows(batches):
-        rest: list[pa.RecordBatch] = []
 
-        def emit(table: pa.Table):
-            if not table.num_rows:
-                return
-            column = lambda name: table.column(name).to_numpy()
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8)
-            found = pairs_of(
-                int(column("bucket")[0] >> (8 * BAND)), column("side"), column("fp"), column("n"),
-                column("comp"), sketch.reshape(-1, REGISTERS),
-            )
-            for a, b in found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-                )
+def _by_place(of_place):
+    """Rows of each place (a bucket, or two blocks of one) as one table, for rows sorted by place."""
 
+    def rows(batches):
+        rest: list[pa.RecordBatch] = []
         for batch in batches:
             place = batch.column("place").to_numpy()
             if not len(place):
                 continue
-            cuts = np.append(np.flatnonzero(np.diff(place)) + 1, len(place))
             begin = 0
-            for end in cuts.tolist():
+            for end in np.append(np.flatnonzero(np.diff(place)) + 1, len(place)).tolist():
                 if rest and rest[0].column("place")[0].as_py() != place[begin]:
-                    yield from emit(pa.Table.from_batches(rest))
+                    yield from of_place(pa.Table.from_batches(rest))
                     rest = []
                 rest.append(batch[begin:end])
                 begin = end
         if rest:
-            yield from emit(pa.Table.from_batches(rest))
+            yield from of_place(pa.Table.from_batches(rest))
 
     return rows
 
 
-def _crossing(members: DataFrame, links: DataFrame, tested: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a bucket, that the links so far don't connect and that may be similar enough."""
+def _pairs_of(table: pa.Table, percent: int):
+    column = lambda name: table.column(name).to_numpy()
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+    return _candidates(
+        percent, int(column("bucket")[0] >> (8 * BAND)), column("side"), column("n"), column("comp"), sketch
+    )
+
+
+def _with_candidates(percent: int):
+    """Of each place, the rows that may be similar enough to one of another component."""
+
+    def of_place(table: pa.Table):
+        chosen = np.zeros(table.num_rows, bool)
+        for at, other in _pairs_of(table, percent):
+            chosen[at] = True
+            chosen[other] = True
+        if chosen.any():
+            kept = table.select(["place", "bucket", "side", "fp", "comp"]).filter(pa.array(chosen))
+            yield from kept.to_batches()
+
+    return _by_place(of_place)
+
+
+def _confirmed_links(percent: int):
+    """Of each place, links by whole sets that join its components: one less than these at most."""
+
+    def of_place(table: pa.Table):
+        fp, n = table.column("fp").to_numpy(), table.column("n").to_numpy()
+        # Sorted as unsigned numbers.
+        whole = [t.values.to_numpy().view(np.uint64) for t in table.column("tokens")]
+        found = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1]
+        joined = np.arange(found.max() + 1)
+        left, right = [], []
+        for at, other in _pairs_of(table, percent):
+            mine = whole[at]
+            for begin in range(0, len(other), 256):
+                part = other[begin:begin + 256]
+                tokens = np.concatenate([whole[o] for o in part])
+                place = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
+                starts = np.append(0, np.cumsum(n[part])[:-1])
+                common = np.add.reduceat((mine[place] == tokens).astype(np.int64), starts)
+                enough = 100 * common >= percent * (n[at] + n[part] - common)
+                for o in part[enough].tolist():
+                    if _joined(joined, int(found[at]), int(found[o])):
+                        left.append(min(fp[at], fp[o]))
+                        right.append(max(fp[at], fp[o]))
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
+
+    return _by_place(of_place)
+
+
+def _crossing(members: DataFrame, links: DataFrame, decide: _Sets) -> DataFrame:
+    """Links between sets that share a bucket and that the links so far don't connect.
+
+    Two passes over the buckets with several components: sketches find the sets that may have such a link,
+    and these are compared as a whole.
+    """
     known = store(components(links), "components").select(
         F.col("node").alias("_node"), F.col("component").alias("_component")
     )
     members = store(
         members.join(known, F.col("fp") == F.col("_node"), "left").select(
-            "bucket", "fp", F.coalesce("_component", "fp").alias("comp")
+            "bucket", "fp", "n", F.coalesce("_component", "fp").alias("comp")
         ), "members",
     )
     mixed = members.groupBy("bucket").agg(
-        F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_rows")
-    )
-    mixed = mixed.where("_low < _high").select(
-        "bucket", "_rows", F.ceil(F.col("_rows") / BLOCK_ROWS).alias("_blocks")
+        F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_rows"), F.sum("n").alias("_n")
     )
+    blocks = F.ceil(F.greatest(F.col("_rows") / BLOCK_ROWS, F.col("_n") / BLOCK_TOKENS))
+    mixed = mixed.where("_low < _high").select("bucket", "_rows", blocks.alias("_blocks"))
     inside = attach(members, mixed, ["bucket"], "_rows").withColumn(
         "_block", F.pmod(F.xxhash64("fp"), F.col("_blocks"))
     )
     # A member goes to all pairs of blocks that hold its own; side 2: the pair of a block with itself.
     low, high = F.least("_block", "_other"), F.greatest("_block", "_other")
     side = F.when(F.col("_block") == F.col("_other"), 2).when(F.col("_block") < F.col("_other"), 0).otherwise(1)
-    placed = (
-        inside.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-        .select(
-            F.xxhash64("bucket", low, high).alias("place"), "bucket", side.cast("int").alias("side"), "fp", "comp"
-        )
-        .join(distinct.select(F.col("fp").alias("_fp"), "n", "sketch"), F.col("fp") == F.col("_fp"))
-        .drop("_fp")
-        .repartition("place").sortWithinPartitions("place")
+    placed = inside.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).select(
+        F.xxhash64("bucket", low, high).alias("place"), "bucket", side.cast("int").alias("side"), "fp", "comp"
+    )
+    sketches = decide.distinct.select(F.col("fp").alias("_fp"), "n", "sketch")
+    percent = decide.percent
+
+    def placed_with(rows: DataFrame, table: DataFrame) -> DataFrame:
+        joined = rows.join(table, F.col("fp") == F.col("_fp")).drop("_fp")
+        return joined.repartition("place").sortWithinPartitions("place")
+
+    near = store(
+        map_batches(
+            placed_with(placed, sketches), _with_candidates(percent),
+            "place long, bucket long, side int, fp long, comp long",
+        ), "crossing",
     )
-    found = map_batches(placed, _apart(percent), "a long, b long").distinct()
-    done = tested.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    return store(found.join(done, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "crossing")
+    whole = decide.whole(near.select(F.col("fp").alias("_end")).distinct())
+    both = sketches.join(whole.select(F.col("fp").alias("_of"), "tokens"), F.col("_fp") == F.col("_of")).drop("_of")
+    found = map_batches(placed_with(near, both), _confirmed_links(percent), "a long, b long")
+    return store(found.distinct(), "crossing_links")
 
 
 def near_duplicates(
@@ -393,11 +465,12 @@ def near_duplicates(
     id that links lead to, the document's own included.
 
     Equal sets are one from the start. Sets that agree in a band of registers share a
-    bucket. First every member is compared with its bucket's hub, then all
-    pairs of a bucket whose members these links don't connect; of both only pairs
-    go on that may be similar enough by the likelihood of all their registers. So a group of n near copies
-    costs n, no bucket is capped, and large ones are compared in pairs of blocks. A link at
-    similarity 0.8 is missed by all bands or by the likelihood with a chance near 1e-6, a closer one with less.
+    bucket. First every member is compared with its bucket's hub, then in every bucket
+    what these links don't connect; whole sets are compared only where
+    the likelihood of all registers allows. Rows are written per member and per link that joins
+    two components, never per pair, so a group of n near copies costs n; no bucket is capped, and large
+    ones are compared in pairs of blocks. A link at similarity 0.8 is missed by all bands, or
+    by the likelihood, with a chance near 1e-6 or 1e-5, a closer one with less.
 
     Sets and shingles are known by 64-bit hashes. A NULL or empty text, or one of white space
     only, has ``n_shingles`` 0 and is linked with nothing. A very long text is one
@@ -416,8 +489,7 @@ def near_duplicates(
     decide = _Sets(base, distinct, size, percent)
     tested = store(_with_hubs(members, percent), "hubs")
     links = decide.confirmed(decide.likely(tested))
-    apart = _crossing(members, links, tested, distinct, percent)
-    links = links.unionByName(decide.confirmed(apart))
+    links = links.unionByName(_crossing(members, links, decide))
 
     known = components(links).select(F.col("node").alias("_node"), "component")
     least = made.where("n > 0").groupBy("fp").agg(F.min("id").alias("least"))
