@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import reused, store
 from .correlation import pearson
-from .quantiles import QUANTILES, long_form, quantiles
+from .quantiles import QUANTILES, at_fractions, long_form, quantiles, select_ranks
 from .skew import MAX_GROUP_ROWS
 
 MOMENTS = {
@@ -49,6 +49,7 @@ def profile(
     accuracy: int | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
     persist: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    selected: DataFrame | None = None,
 ) -> DataFrame:
     """The full profile per column (no rows for a table without rows).
 
@@ -56,15 +57,23 @@ def profile(
     non-NULL rows, quantiles, range, interquartile range and coefficient of
     variation in percent (0 for a mean of 0).
 
-    Moments and quantiles each scan the columns. ``persist`` is how the columns
+    Moments take one scan of the columns, quantiles two. ``persist`` is how the columns
     are kept in between; None suits a table that holds them ready to be read.
+    Where rows of ``select_ranks`` at the fractions are at hand they can be given as ``selected``.
 
-    Values are taken as doubles, so integers above 2^53 lose their last digits.
+    Values are taken as doubles, so integers above 2^53 lose their last digits;
+    ``typed_order_statistics`` keeps them.
     """
     with reused(df.select(*columns), persist) as numbers:
         # Both tables have one row per profiled column.
         moments = store(_moments(numbers, columns, {**MOMENTS, **SHAPE}), "moments")
-        at = store(quantiles(numbers, columns, QUANTILES, accuracy, max_group_rows), "quantiles")
+        if selected is not None:
+            at = at_fractions(selected, QUANTILES)
+        elif accuracy is not None:
+            at = store(quantiles(numbers, columns, QUANTILES, accuracy), "quantiles")
+        else:
+            # What was counted inside the brackets is stored; the scans are over.
+            at = at_fractions(select_ranks(numbers, columns, list(QUANTILES.values()), None, max_group_rows), QUANTILES)
     both = moments.join(F.broadcast(at), "column", "left")
     variation = F.when(F.col("mean") == 0, 0.0).otherwise(F.try_divide("stddev", "mean") * 100)
     return both.select(

@@ -14,7 +14,7 @@ from ..sources.tables import write_json, write_text
 from .correlation import correlations
 from .frequency import frequency_distribution, mode_of
 from .profile import profile, profile_highlights
-from .quantiles import quantile_histograms
+from .quantiles import QUANTILES, edge_fractions, histograms_of, select_ranks
 
 
 def _union(tables: Sequence[DataFrame]) -> DataFrame:
@@ -31,16 +31,19 @@ def write_profile_report(
     """Write profile, correlations, histograms, frequencies and highlights as JSON, and a
     summary as text, each to a folder of its own below the path.
 
-    The columns are kept from the first table to the last. What is written is
+    The columns are kept from the first table to the last, and one selection gives the
+    quantiles of the profile and the edges of the histograms. What is written is
     small: rows per column, per pair of columns, per bucket and per category.
     """
     with reused(df.select(*numbers, *categories), persist) as kept:
-        profiled = profile(kept, numbers, persist=None)
+        fractions = [*QUANTILES.values(), *edge_fractions(10)]
+        selected = store(select_ranks(kept, numbers, fractions), "selected")
+        profiled = store(profile(kept, numbers, persist=None, selected=selected), "profile")
         correlated = store(correlations(kept, numbers), "correlations")
         modes = store(_union([mode_of(kept, c) for c in categories]), "modes")
         write_json(profiled, f"{path}/profile")
         write_json(correlated, f"{path}/correlations")
-        write_json(quantile_histograms(kept, numbers), f"{path}/histograms")
+        write_json(histograms_of(selected), f"{path}/histograms")
         frequencies = [frequency_distribution(kept, c) for c in categories]
         write_json(_union(frequencies), f"{path}/frequencies")
         write_json(profile_highlights(profiled, correlated, modes), f"{path}/highlights")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from itertools import combinations_with_replacement
 
@@ -14,7 +15,9 @@ from ..functions.text import text_features
 from ..operators.correlation import correlations
 from ..operators.frequency import frequency_distribution, mode_of
 from ..operators.profile import basic_summary, mixed_stats, profile, profile_highlights
-from ..operators.quantiles import QUANTILES, quantile_edges, quantile_histogram, quantiles
+from ..operators.quantiles import (
+    QUANTILES, quantile_edges, quantile_histogram, quantile_histograms, quantiles, typed_order_statistics,
+)
 from ..operators.report import write_profile_report
 from ..sources.shared import new_path, reused, store
 from .query import Query, comparable, table
@@ -271,6 +274,108 @@ QUANTILES_CHUNKED_SQL = f"""
         for name, f in QUANTILES.items())}"""
 
 
+def run_quantiles_selected(spark, folder):
+    """Quantiles of line items: many rows, few distinct quantities, many distinct prices."""
+    df = table(spark, folder, "lineitem").select(*LINE_NUMBERS)
+    return comparable(quantiles(df, LINE_NUMBERS), 4)
+
+
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]
+
+QUANTILES_SELECTED_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {', '.join(
+        f"round(CAST(quantile_disc({c}, {f}) AS DOUBLE), 4) AS {name}" for name, f in QUANTILES.items())}
+        FROM lineitem"""
+    for c in LINE_NUMBERS
+)
+
+
+def run_quantiles_approx(spark, folder):
+    """Approximate quantiles of line items, and whether each one's rank is within 1 % of where it should be."""
+    df = table(spark, folder, "lineitem").select("l_extendedprice")
+    found = quantiles(df, ["l_extendedprice"], QUANTILES, 100)
+    price, total = F.col("l_extendedprice"), F.count("*")
+    # One row with six values, and all their ranks from one more pass over the prices.
+    with_values = df.withColumn("at", found.select(F.struct(*QUANTILES)).scalar())
+    checks = []
+    for name, fraction in QUANTILES.items():
+        within = (F.count_if(price < F.col("at")[name]) <= total * (fraction + 0.01)) & (
+            F.count_if(price <= F.col("at")[name]) >= total * (fraction - 0.01)
+        )
+        checks.append(F.struct(F.lit(name).alias("name"), within.alias("within_error")))
+    return with_values.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
+def run_typed(spark, folder):
+    """Order statistics of whole numbers that doubles can't tell apart, each in its own type."""
+    key = F.col("o_orderkey").cast("bigint")
+    long_key = (key * 1_000_003 + F.lit(1 << 60)).alias("long_key")
+    wide_key = (key.cast("decimal(38,0)") * 7 + F.lit(Decimal(10) ** 36)).cast("decimal(38,0)").alias("wide_key")
+    df = table(spark, folder, "orders").select(long_key, wide_key, "o_totalprice")
+    found = typed_order_statistics(df, ["long_key", "wide_key", "o_totalprice"])
+    # The two engines write doubles differently: those are compared as numbers.
+    is_double = F.col("kind") == "double"
+    values = ["min", *QUANTILES, "max", "range"]
+    return found.select(
+        "column", "kind", "known",
+        *[F.when(~is_double, F.col(v)).alias(v) for v in values],
+        *[F.round(F.when(is_double, F.col(v)).cast("double"), 4).alias(f"{v}_number") for v in values],
+    )
+
+
+def _typed_sql(column: str, kind: str, value: str, as_text: bool) -> str:
+    at = {"min": f"min({value})", **{n: f"quantile_disc({value}, {f})" for n, f in QUANTILES.items()},
+          "max": f"max({value})", "range": f"max({value}) - min({value})"}
+    text = [f"{f'CAST({v} AS VARCHAR)' if as_text else 'NULL'} AS \"{n}\"" for n, v in at.items()]
+    number = [f"{'NULL' if as_text else f'round({v}, 4)'} AS {n}_number" for n, v in at.items()]
+    return f"""SELECT '{column}' AS "column", '{kind}' AS kind, count({value}) AS known,
+               {', '.join(text)}, {', '.join(number)} FROM orders"""
+
+
+TYPED_SQL = " UNION ALL ".join([
+    _typed_sql("long_key", "bigint", "(CAST(o_orderkey AS BIGINT) * 1000003 + 1152921504606846976)", True),
+    _typed_sql("wide_key", "decimal(38,0)",
+               f"(CAST(o_orderkey AS HUGEINT) * 7 + CAST('1{'0' * 36}' AS HUGEINT))", True),
+    _typed_sql("o_totalprice", "double", "o_totalprice", False),
+])
+
+
+def run_histograms(spark, folder):
+    """Histograms of several columns from one selection."""
+    df = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
+    return comparable(quantile_histograms(df, ["l_quantity", "l_extendedprice"], 4))
+
+
+def _histogram_sql(column: str, buckets: int) -> str:
+    return f"""
+        SELECT '{column}' AS "column", CAST(bucket AS BIGINT) AS bucket, low, high,
+               CAST(coalesce(sum(n), 0) AS BIGINT) AS count,
+               round(coalesce(sum(n), 0) * 100 / CAST((SELECT count({column}) FROM lineitem) AS DOUBLE), 6) AS percent
+        FROM (SELECT i + 1 AS bucket, low, lead(low) OVER (ORDER BY i) AS high
+              FROM (SELECT unnest(range(0, {buckets + 1})) AS i, unnest((
+                  SELECT quantile_disc(CAST({column} AS DOUBLE), [{', '.join(str(i / buckets) for i in range(buckets + 1))}])
+                  FROM lineitem)) AS low)) b
+        LEFT JOIN (SELECT CAST({column} AS DOUBLE) AS v, count(*) AS n FROM lineitem GROUP BY 1) q
+          ON v >= low AND (v < high OR (bucket = {buckets} AND v = high))
+        WHERE bucket <= {buckets} GROUP BY bucket, low, high"""
+
+
+HISTOGRAMS_SQL = " UNION ALL ".join(_histogram_sql(c, 4) for c in ("l_quantity", "l_extendedprice"))
+
+
+def run_mixed_one_pass(spark, folder):
+    """The mixed statistics as one aggregate; the median is within 1 % in rank."""
+    df = rated_documents(spark, folder).select("review_length", "word_count", "rating")
+    found = mixed_stats(df, "review_length", "word_count", "rating", 100)
+    rating, total, median = F.col("rating"), F.count("*"), found.select("median_rating").scalar()
+    with_median = df.select("rating", median.alias("median"))
+    within = (F.count_if(rating < F.col("median")) <= total * 0.51) & (
+        F.count_if(rating <= F.col("median")) >= total * 0.49
+    )
+    checked = with_median.agg(within.alias("within"))
+    return comparable(found.drop("median_rating")).withColumn("median_within_error", checked.scalar())
+
+
 def run_mixed(spark, folder):
     return comparable(
         mixed_stats(rated_documents(spark, folder), "review_length", "word_count", "rating")
@@ -290,6 +395,10 @@ MIXED_SQL = f"""
     FROM r"""
 
 
+MIXED_ONE_PASS_SQL = f"""
+    SELECT * EXCLUDE (median_rating), true AS median_within_error FROM ({MIXED_SQL})"""
+
+
 QUERIES = {
     "basic_summary": Query(
         lambda spark, folder: comparable(basic_summary(rated_documents(spark, folder), NUMBERS), 4),
@@ -319,6 +428,14 @@ QUERIES = {
         "SELECT CAST(i AS BIGINT) AS edge, true AS within_error FROM range(0, 11) AS t(i)",
     ),
     "quantile_histogram": Query(run_histogram, HISTOGRAM_SQL),
+    "quantiles_selected": Query(run_quantiles_selected, QUANTILES_SELECTED_SQL),
+    "quantiles_approx": Query(
+        run_quantiles_approx,
+        "SELECT unnest(['q1', 'median', 'q3', 'p90', 'p95', 'p99']) AS name, true AS within_error",
+    ),
+    "typed_order_statistics": Query(run_typed, TYPED_SQL),
+    "quantile_histograms": Query(run_histograms, HISTOGRAMS_SQL),
+    "mixed_stats_one_pass": Query(run_mixed_one_pass, MIXED_ONE_PASS_SQL),
     "quantiles_large_groups": Query(run_quantiles_chunked, QUANTILES_CHUNKED_SQL),
     "mixed_stats": Query(run_mixed, MIXED_SQL),
     "profile_report": Query(run_report, REPORT_SQL),

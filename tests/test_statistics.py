@@ -1,6 +1,8 @@
 """Profiles, quantiles and correlations: edge cases and brute force."""
 
 import random
+import re
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from proseledger.operators import correlation, profile, quantiles
 from proseledger.operators.reconcile import reconcile
+from proseledger.plans.inspect import plan_text
 
 
 def exact(values, fraction):
@@ -53,6 +56,74 @@ def test_approximate_quantiles_are_near_the_exact_ones(numbers):
         assert abs(values.index(row[name]) - fraction * 1000) <= 12
 
 
+def test_selection_counts_only_what_is_inside_the_brackets(spark, monkeypatch):
+    pick = random.Random(3)
+    values = [pick.random() for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    counted, stored = [], quantiles.store
+
+    def count(table, name="table"):
+        out = stored(table, name)
+        if name == "bracketed":
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(quantiles, "store", count)
+    row = quantiles.quantiles(df, ["v"], {"a": 0.25, "b": 0.75}).first()
+    assert (row.a, row.b) == (exact(values, 0.25), exact(values, 0.75))
+    # Two brackets of less than a hundredth each, and what is outside them as a row or two.
+    assert len(counted) == 1 and counted[0] < 2 * 200 + 5
+
+
+def test_a_bracket_that_misses_is_found_out(numbers, monkeypatch):
+    values = numbers.toPandas()["normal"].tolist()
+    monkeypatch.setattr(quantiles, "_brackets", lambda df, columns, fractions: {c: [(0.0, 0.1), (2.0, 2.1)] for c in columns})
+    got = quantiles.quantiles(numbers, ["normal"]).first()
+    assert all(got[name] == exact(values, f) for name, f in quantiles.QUANTILES.items())
+
+
+def test_summaries_meet_in_two_steps(numbers):
+    text = plan_text(quantiles.summaries(numbers, COLUMNS, 100), "simple")
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", text)
+    assert ["_group" in k for k in keys] == [False, True], keys
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_summaries_are_as_right_as_they_say(spark, parts):
+    pick = random.Random(parts)
+    values = [round(pick.lognormvariate(0, 3), 2) for _ in range(30_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+    rows = quantiles.summaries(df, ["v"], 50).collect()
+    ordered = np.sort(values)
+    for r in rows:
+        upto = np.searchsorted(ordered, r.value, "right")
+        assert r.total == 30_000
+        assert upto - 3 * 30_000 / 200 - 1 <= r.upto <= upto + 30_000 / 200 + 1
+
+
+def test_selection_of_odd_values_and_of_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(v,) for v in [nan, inf, -inf, 0.0, -0.0, 1.0, None, nan]]
+    df = spark.createDataFrame(rows, "v double")
+    row = quantiles.quantiles(df, ["v"], {"a": 0.0, "b": 3 / 7, "c": 5 / 7, "d": 1.0}).first()
+    assert (row.a, row.b, row.c) == (-inf, 0.0, inf) and np.isnan(row.d)
+    assert quantiles.quantiles(df.limit(0), ["v"]).collect() == []
+    assert quantiles.quantiles(df.where("v is null"), ["v"]).collect() == []
+    assert quantiles.quantile_histogram(df.limit(0), "v").collect() == []
+
+
+def test_typed_order_statistics_keep_every_digit(spark):
+    rows = [(2**62 + i, Decimal(10**37 + i), i, None) for i in range(100)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "a long, b decimal(38,0), c int, d long").repartition(3)
+    got = {r.column: r for r in quantiles.typed_order_statistics(df, ["a", "b", "c", "d"]).collect()}
+    assert sorted(got) == ["a", "b", "c"]
+    assert (got["a"].min, got["a"].median, got["a"].max, got["a"].known) == (
+        str(2**62), str(2**62 + 49), str(2**62 + 99), 100
+    )
+    assert (got["b"].min, got["b"].p99, got["b"].max) == (str(10**37), str(10**37 + 98), str(10**37 + 99))
+    assert (got["c"].kind, got["c"].q3, got["c"].range) == ("int", "74", "99")
+
+
 def test_profile_of_constant_and_missing_values(spark, numbers):
     df = numbers.withColumn("nothing", F.lit(None).cast("double"))
     for level in (None, StorageLevel.DISK_ONLY):
