@@ -89,25 +89,34 @@ def join_on_groups(
     return joined.drop(*other.values())
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> Large | None:
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The number of rows ("_rows") per group."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+
+
+def large_groups(
+    df: DataFrame, keys: Sequence[str], max_group_rows: int, sizes: DataFrame | None = None
+) -> Large | None:
     """Groups with more rows than the limit; None if there are none.
 
-    One pass over the table: what is stored has a row per large group, and one
-    for all others together.
+    One pass over the table, or over its ``group_sizes`` if they are given. What is stored has a row per large group, and one for all others together.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    sizes = group_sizes(df, keys) if sizes is None else sizes
     is_large = F.col("_rows") > max_group_rows
     own = [F.when(is_large, F.col(k)).alias(k) for k in keys]
     counted = sizes.groupBy(*own, is_large.alias("_large")).agg(F.sum("_rows").alias("_rows"))
     counted = store(counted, "group_sizes")
     groups = counted.where("_large").drop("_large")
-    number, rows, widest = groups.agg(
-        F.count("*"), F.sum("_rows"), F.max(key_bytes(groups, keys))
+    number, rows, widest, others = counted.agg(
+        F.count_if("_large"),
+        F.sum(F.when(F.col("_large"), F.col("_rows"))),
+        F.max(F.when(F.col("_large"), key_bytes(groups, keys))),
+        F.count_if(~F.col("_large")),
     ).first()
     if number == 0:
         return None
     chunks = max(2, ceil(rows / max_group_rows))
-    return Large(groups, number, rows, chunks, widest, counted.where("not _large").isEmpty())
+    return Large(groups, number, rows, chunks, widest, others == 0)
 
 
 def split(df: DataFrame, keys: Sequence[str], found: Large) -> tuple[DataFrame, DataFrame]:
@@ -135,10 +144,11 @@ def by_group_size(
     max_group_rows: int | None,
     small: Callable[[DataFrame], DataFrame],
     large: Callable[[DataFrame, Large], DataFrame],
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``small`` on the rows of small groups and ``large`` on the rows of large ones.
 
-    The table is read once to count and once for either kind of group it has:
+    The table is read once to count, unless its ``group_sizes`` are given, and once for either kind of group it has:
     store it first if it is dear to compute, or not the same each time. Where it
     has both kinds the result is stored, so that in a chain of operators none
     evaluates those before it again. The shared folder is demanded whatever the
@@ -149,7 +159,7 @@ def by_group_size(
     if max_group_rows is None:
         return small(df)
     shared_folder(df.sparkSession)
-    found = large_groups(df, keys, max_group_rows)
+    found = large_groups(df, keys, max_group_rows, sizes)
     if found is None:
         return small(df)
     if found.all_rows:

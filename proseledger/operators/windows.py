@@ -2,15 +2,22 @@
 
 ``order`` is a list of sort columns and must end in a unique one, so that no
 two rows of a group are equal and results don't depend on chance.
+
+Windows over one key and order are *parts* of one pass. Where groups are small a
+part is an ordinary window. Large groups are cut into chunks once for all parts:
+each part says what it needs from inside a chunk, the rows are stored with all
+of that, and then each part adds what its chunks carry to the chunks behind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions import exact as exactly
 from ..sources.shared import store
 from .skew import (
     CHUNK,
@@ -28,47 +35,124 @@ def columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def running_sum(
+class Part(NamedTuple):
+    """Window columns over one key and order."""
+
+    # On rows whose groups are whole.
+    whole: Callable[[DataFrame], DataFrame]
+    # What each row of a chunk needs from its chunk.
+    inside: Callable[[], dict[str, Column]]
+    # The results, from the stored rows of all chunks with what is inside; drops what it doesn't return.
+    across: Callable[[DataFrame, Large], DataFrame]
+
+
+def in_one_pass(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str | Column],
-    value: str,
-    name: str = "cumulative_sum",
+    order: Sequence[Column],
+    parts: Sequence[Part],
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` from the first row of the group up to this one."""
-    order = columns(order)
+    """All parts, which share keys and order, with one shuffle of the rows.
 
-    def upto_here(*groups: str) -> Column:
-        window = Window.partitionBy(*groups).orderBy(*order)
-        return F.sum(value).over(window.rowsBetween(BEFORE, Window.currentRow))
+    ``sizes`` is a table of the rows per group (keys and ``_rows``) if there is one already.
+    """
 
     def small(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(name, upto_here(*keys))
+        for part in parts:
+            rows = part.whole(rows)
+        return rows
 
     def large(rows: DataFrame, found: Large) -> DataFrame:
-        chunked = in_chunks(rows, keys, order, found.chunks)
-        chunked = store(chunked.withColumn("_here", upto_here(CHUNK, *keys)), "running_sum")
-        earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(BEFORE, -1)
-        carried = chunked.groupBy(*keys, CHUNK).agg(F.sum(value).alias("_sum"))
-        carried = carried.select(*keys, CHUNK, F.sum("_sum").over(earlier).alias("_carried"))
+        inside = {}
+        for part in parts:
+            inside |= part.inside()
+        chunked = in_chunks(rows, keys, order, found.chunks).withColumns(inside)
+        chunked = store(chunked, "chunks")
+        for part in parts:
+            chunked = part.across(chunked, found)
+        return chunked.drop(CHUNK)
+
+    return by_group_size(df, keys, max_group_rows, small, large, sizes)
+
+
+def running_sum_part(
+    keys: Sequence[str], order: Sequence[Column], value: str, name: str, within: Sequence[str] = (),
+    bins: range | None = None,
+) -> Part:
+    """Sum of ``value`` from the first row of the group up to this one, by ``keys`` and ``within``.
+
+    With ``bins`` the sum is exact before it is rounded, so it has the same bits however the rows are cut.
+    """
+    groups = [*keys, *within]
+    helpers = [f"_here_{name}"] if bins is None else [f"_here_{name}_{i}" for i in range(len(bins) + 1)]
+
+    def summands() -> list[Column]:
+        return [F.col(value)] if bins is None else exactly.pieces_in(F.col(value), bins)
+
+    def result(sums: list[Column]) -> Column:
+        return sums[0] if bins is None else exactly.rounded_bins(sums, bins)
+
+    def upto_here(*partition: str) -> list[Column]:
+        window = Window.partitionBy(*partition).orderBy(*order).rowsBetween(BEFORE, Window.currentRow)
+        return [F.sum(s).over(window) for s in summands()]
+
+    def whole(rows: DataFrame) -> DataFrame:
+        if bins is None:
+            return rows.withColumn(name, upto_here(*groups)[0])
+        rows = rows.withColumns(dict(zip(helpers, upto_here(*groups))))
+        return rows.withColumn(name, result([F.col(h) for h in helpers])).drop(*helpers)
+
+    def inside() -> dict[str, Column]:
+        return dict(zip(helpers, upto_here(CHUNK, *groups)))
+
+    def across(chunked: DataFrame, found: Large) -> DataFrame:
+        earlier = Window.partitionBy(*groups).orderBy(CHUNK).rowsBetween(BEFORE, -1)
+        sums = [F.sum(s).alias(f"_of{h}") for s, h in zip(summands(), helpers)]
+        carried = chunked.groupBy(*groups, CHUNK).agg(*sums).select(
+            *groups, CHUNK, *[F.sum(f"_of{h}").over(earlier).alias(f"_before{h}") for h in helpers]
+        )
+        # Without further keys there is a row per chunk and large group; else they are counted.
         is_small = found.is_small(found.parts)
-        joined = join_on_groups(chunked, carried, [*keys, CHUNK], broadcast=is_small)
-        total = F.coalesce(F.col("_carried") + F.col("_here"), "_carried", "_here")
-        return joined.withColumn(name, total).drop(CHUNK, "_here", "_carried")
+        if within:
+            carried = store(carried, "carried")
+            is_small = found.is_small(carried.count())
+        joined = join_on_groups(chunked, carried, [*groups, CHUNK], broadcast=is_small)
+        total = [F.coalesce(F.col(f"_before{h}") + F.col(h), f"_before{h}", h) for h in helpers]
+        return joined.withColumn(name, result(total)).drop(*helpers, *[f"_before{h}" for h in helpers])
 
-    return by_group_size(df, keys, max_group_rows, small, large)
+    return Part(whole, inside, across)
 
 
-def near_rows(
+def running_sum(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str | Column],
+    value: str,
+    name: str = "cumulative_sum",
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+    exact: bool = False,
+) -> DataFrame:
+    """Sum of ``value`` from the first row of the group up to this one.
+
+    Sums of doubles depend in their last digits on how the rows are cut into chunks. With
+    ``exact`` they don't: the sum is exact before it is rounded, at the cost of
+    one more scan of the column and a window for every 20 bits its values span.
+    """
+    order = columns(order)
+    bins = exactly.bins_of(df, value) if exact else None
+    part = running_sum_part(keys, order, value, name, bins=bins)
+    return in_one_pass(df, keys, order, [part], max_group_rows)
+
+
+def near_rows_part(
+    keys: Sequence[str],
+    order: Sequence[Column],
     inputs: Sequence[str],
     reach: int,
     outputs: Callable[[WindowSpec], dict[str, Column]],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
-) -> DataFrame:
+) -> Part:
     """Window columns that look at most ``reach`` rows to either side.
 
     ``outputs`` builds the columns from an ordered window; they may read only
@@ -78,24 +162,20 @@ def near_rows(
     computed on that table are right for it; any other row has all of them in
     its chunk.
     """
-    order = columns(order)
 
-    def small(rows: DataFrame) -> DataFrame:
+    def whole(rows: DataFrame) -> DataFrame:
         return rows.withColumns(outputs(Window.partitionBy(*keys).orderBy(*order)))
 
-    def large(rows: DataFrame, found: Large) -> DataFrame:
+    def inside() -> dict[str, Column]:
         whole = Window.partitionBy(CHUNK, *keys)
         window = whole.orderBy(*order)
-        names = list(outputs(window))
-        chunked = in_chunks(rows, keys, order, found.chunks).withColumns(
-            {
-                **outputs(window),
-                "_place": F.row_number().over(window),
-                "_size": F.count("*").over(whole),
-            }
-        )
-        chunked = store(chunked, "near_rows")
+        return {
+            **outputs(window),
+            "_place": F.row_number().over(window),
+            "_size": F.count("*").over(whole),
+        }
 
+    def across(chunked: DataFrame, found: Large) -> DataFrame:
         def near_end(distance: int) -> Column:
             place = F.col("_place")
             return (place <= distance) | (F.col("_size") - place < distance)
@@ -106,14 +186,28 @@ def near_rows(
             *keys, CHUNK, "_place", F.struct(*[c.alias(n) for n, c in across.items()]).alias("_at_end")
         )
         # Places of one chunk are different rows, so a shuffle by them is even.
-        kinds = dict(rows.dtypes)
+        kinds = dict(chunked.dtypes)
         narrow = not any(kinds[i].startswith(("string", "binary", "array", "map", "struct")) for i in inputs)
         is_small = narrow and found.is_small(4 * reach * found.parts)
         joined = join_on_groups(chunked, ends, [*keys, CHUNK, "_place"], "left", is_small)
-        chosen = {n: F.when(near_end(reach), F.col(f"_at_end.{n}")).otherwise(F.col(n)) for n in names}
-        return joined.withColumns(chosen).drop(CHUNK, "_place", "_size", "_at_end")
+        chosen = {n: F.when(near_end(reach), F.col(f"_at_end.{n}")).otherwise(F.col(n)) for n in across}
+        return joined.withColumns(chosen).drop("_place", "_size", "_at_end")
 
-    return by_group_size(df, keys, max_group_rows, small, large)
+    return Part(whole, inside, across)
+
+
+def near_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    inputs: Sequence[str],
+    reach: int,
+    outputs: Callable[[WindowSpec], dict[str, Column]],
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``near_rows_part`` by itself."""
+    order = columns(order)
+    return in_one_pass(df, keys, order, [near_rows_part(keys, order, inputs, reach, outputs)], max_group_rows)
 
 
 def _mean_of_last(value: str, n: int, name: str) -> Callable[[WindowSpec], dict[str, Column]]:
@@ -164,39 +258,40 @@ def prev_next(
     return _with_change(near, value)
 
 
-def moving_avg_and_neighbours(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    value: str,
-    n: int = 3,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """``moving_avg`` and ``prev_next`` over the same windows, in one go."""
+def moving_avg_and_neighbours_part(
+    keys: Sequence[str], order: Sequence[Column], value: str, n: int = 3
+) -> Part:
+    """``moving_avg`` and ``prev_next`` over the same windows."""
     mean, neighbours = _mean_of_last(value, n, f"moving_avg_{n}"), _neighbours(value)
 
     def outputs(window: WindowSpec) -> dict[str, Column]:
         return {**mean(window), **neighbours(window)}
 
-    near = near_rows(df, keys, order, [value], max(n - 1, 1), outputs, max_group_rows)
-    return _with_change(near, value)
+    part = near_rows_part(keys, order, [value], max(n - 1, 1), outputs)
+    return part._replace(
+        whole=lambda rows: _with_change(part.whole(rows), value),
+        across=lambda chunked, found: _with_change(part.across(chunked, found), value),
+    )
 
 
-def ranks(
+def moving_avg_and_neighbours(
     df: DataFrame,
-    group: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str | Column],
     value: str,
-    tiebreak: Sequence[str],
+    n: int = 3,
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Rank and dense rank within the group, highest value first, equal values alike.
+    """``moving_avg`` and ``prev_next`` over the same windows, in one go."""
+    order = columns(order)
+    return in_one_pass(df, keys, order, [moving_avg_and_neighbours_part(keys, order, value, n)], max_group_rows)
 
-    ``tiebreak`` only lets equal values of a large group spread over chunks; the
-    ranks don't depend on it.
-    """
+
+def ranks_part(group: Sequence[str], value: str, tiebreak: Sequence[str]) -> Part:
+    """Rank and dense rank within the group, highest value first, over rows in that order and ``tiebreak``'s."""
     highest = F.col(value).desc()
 
-    def small(rows: DataFrame) -> DataFrame:
+    def whole(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*group).orderBy(highest)
         return rows.withColumns(
             {
@@ -205,18 +300,15 @@ def ranks(
             }
         )
 
-    def large(rows: DataFrame, found: Large) -> DataFrame:
-        order = [highest, *columns(tiebreak)]
-        window = Window.partitionBy(CHUNK, *group).orderBy(*order)
+    def inside() -> dict[str, Column]:
         by_value = Window.partitionBy(CHUNK, *group).orderBy(highest)
-        chunked = in_chunks(rows, group, order, found.chunks).withColumns(
-            {
-                "_place": F.row_number().over(window),
-                "_rank": F.rank().over(by_value),
-                "_dense": F.dense_rank().over(by_value),
-            }
-        )
-        chunked = store(chunked, "ranks")
+        return {
+            "_place": F.row_number().over(Window.partitionBy(CHUNK, *group).orderBy(highest, *columns(tiebreak))),
+            "_rank": F.rank().over(by_value),
+            "_dense": F.dense_rank().over(by_value),
+        }
+
+    def across(chunked: DataFrame, found: Large) -> DataFrame:
         joined = join_on_groups(
             chunked, _rank_offsets(chunked, group, value), [*group, CHUNK],
             broadcast=found.is_small(found.parts),
@@ -230,11 +322,28 @@ def ranks(
                 "dense_rank_in_group": F.col("_values_before") + F.col("_dense"),
             }
         ).drop(
-            CHUNK, "_place", "_rank", "_dense",
+            "_place", "_rank", "_dense",
             "_continues", "_open_rank", "_rows_before", "_values_before",
         )
 
-    return by_group_size(df, group, max_group_rows, small, large)
+    return Part(whole, inside, across)
+
+
+def ranks(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    tiebreak: Sequence[str],
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Rank and dense rank within the group, highest value first, equal values alike.
+
+    ``tiebreak`` only lets equal values of a large group spread over chunks; the
+    ranks don't depend on it.
+    """
+    order = [F.col(value).desc(), *columns(tiebreak)]
+    return in_one_pass(df, group, order, [ranks_part(group, value, tiebreak)], max_group_rows, sizes)
 
 
 def _rank_offsets(chunked: DataFrame, group: Sequence[str], value: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import windows
 from ..operators.aggregates import table_summary
+from ..operators.exact_sums import exact_sums
 from ..operators.sales import window_report
 from ..operators.shares import group_shares, share_of_total
 from ..sources.roles import with_roles
@@ -246,6 +247,68 @@ def run_share_rows(spark, folder):
     return comparable(share_of_total(df, "o_orderpriority", "o_totalprice"), 2)
 
 
+def _exact_sql(total: str) -> str:
+    """The double next to an exact sum of prices in units of 2^-45: the two halves are exact doubles."""
+    return (
+        f"(CAST(({total}) // 1099511627776 AS DOUBLE) * 1099511627776 + CAST(({total}) % 1099511627776 AS DOUBLE))"
+        " / 35184372088832"
+    )
+
+
+def _units_sql(amount: str) -> str:
+    return f"CAST({amount} * 35184372088832 AS HUGEINT)"
+
+
+def run_running_sum_exact(key, **limit):
+    """Running sums with the same bits however the rows are cut: nothing is rounded for the comparison."""
+
+    def run(spark, folder):
+        df = orders(spark, folder).select("o_orderkey", "o_orderdate", key, "o_totalprice")
+        df = windows.running_sum(df, [key], ORDER, "o_totalprice", exact=True, **limit)
+        return df.select("o_orderkey", key, "cumulative_sum")
+
+    return run
+
+
+def running_sum_exact_sql(key: str) -> str:
+    return f"""
+        SELECT o_orderkey, {key}, {_exact_sql("t")} AS cumulative_sum
+        FROM (SELECT o_orderkey, {key}, sum({_units_sql("o_totalprice")}) OVER (
+                  PARTITION BY {key} ORDER BY o_orderdate, o_orderkey
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t FROM orders)"""
+
+
+def run_group_sums_exact(spark, folder):
+    """Sums and means by customer, with the same bits for any partitioning."""
+    df = orders(spark, folder).select("o_custkey", "o_totalprice")
+    return exact_sums(df, ["o_custkey"], "o_totalprice")
+
+
+GROUP_SUMS_EXACT_SQL = f"""
+    SELECT o_custkey, {_exact_sql("t")} AS sum, {_exact_sql("t")} / known AS mean, rows, known
+    FROM (SELECT o_custkey, sum({_units_sql("o_totalprice")}) AS t, count(*) AS rows, count(o_totalprice) AS known
+          FROM orders GROUP BY 1)"""
+
+
+def run_share_exact(spark, folder):
+    """Shares of a total near 0, which ordinary sums give other digits by the order of the rows."""
+    amount = F.when(F.col("o_orderkey") % 2 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
+    df = orders(spark, folder).select("o_orderkey", "o_orderpriority", amount.alias("amount"))
+    shares = share_of_total(df, "o_orderpriority", "amount", exact=True)
+    return shares.withColumn("percent_of_total", F.col("percent_of_total").cast("double"))
+
+
+SHARE_EXACT_SQL = f"""
+    WITH s AS (SELECT o_orderkey, o_orderpriority,
+                      CASE o_orderkey % 2 WHEN 0 THEN -o_totalprice ELSE o_totalprice END AS amount FROM orders),
+    g AS (SELECT o_orderpriority, sum({_units_sql("amount")}) AS t FROM s GROUP BY 1),
+    r AS (SELECT o_orderpriority, {_exact_sql("t")} AS group_sum,
+                 (SELECT {_exact_sql("a")} FROM (SELECT sum(t) AS a FROM g)) AS total_sum FROM g)
+    SELECT o_orderkey, s.o_orderpriority, amount, group_sum, total_sum,
+           CAST(TRY_CAST(group_sum / total_sum * 100 AS DECIMAL(5, 2)) AS DOUBLE) AS percent_of_total
+    FROM s JOIN r ON s.o_orderpriority = r.o_orderpriority"""
+
+
 def run_share_signed(spark, folder):
     """Every second amount negated: shares of either sign, NULL where out of range."""
     amount = F.when(F.col("o_orderkey") % 2 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
@@ -345,6 +408,12 @@ QUERIES = {
     "window_report": Query(run_window_report(), WINDOW_REPORT_SQL),
     "window_report_large_groups": Query(run_window_report(max_group_rows=12), WINDOW_REPORT_SQL),
     "window_report_reviews": Query(run_review_report, REVIEW_REPORT_SQL),
+    "running_sum_exact": Query(run_running_sum_exact("o_custkey"), running_sum_exact_sql("o_custkey")),
+    "running_sum_exact_large_groups": Query(
+        run_running_sum_exact("o_orderpriority", max_group_rows=1000), running_sum_exact_sql("o_orderpriority")
+    ),
+    "group_sums_exact": Query(run_group_sums_exact, GROUP_SUMS_EXACT_SQL),
+    "share_of_total_exact": Query(run_share_exact, SHARE_EXACT_SQL),
     "share_of_total": Query(run_shares, SHARES_SQL),
     "share_of_total_join": Query(
         run_share_rows,

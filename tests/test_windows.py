@@ -1,13 +1,17 @@
 """Windows: by hand on ten rows, and the chunked way against the ordinary one."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from proseledger.operators import skew, windows
+from proseledger.operators.exact_sums import exact_sums
+from proseledger.operators.sales import window_report
 from proseledger.operators.shares import group_shares, share_of_total
 from proseledger.sources import shared
+from proseledger.sources.roles import Roles
 
 SALES = [
     (1001, "C101", "2024-01-15", 150.50, "London"),
@@ -196,3 +200,83 @@ def test_share_on_every_row(spark, sales, limit):
     assert {(r.region, float(r.percent_of_total)) for r in rows} == {
         ("London", 57.76), ("Manchester", 28.70), ("Birmingham", 13.54), (None, 0.0)
     }
+
+
+def odd_doubles(count, seed):
+    pick = random.Random(seed)
+    kinds = [lambda: pick.gauss(0, 1), lambda: pick.gauss(0, 1) * 10.0 ** pick.randrange(-12, 13),
+             lambda: round(pick.uniform(0, 1e5), 2), lambda: 0.1, lambda: -1e16, lambda: 1e16, lambda: None]
+    return [pick.choice(kinds)() for _ in range(count)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_sums_are_those_of_fractions(spark, seed):
+    values = odd_doubles(3000, seed)
+    rows = [(i, i % 7, v) for i, v in enumerate(values)]
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows, "i long, g int, v double").repartition(parts)
+        for r in exact_sums(df, ["g"], "v").collect():
+            own = [v for i, g, v in rows if g == r.g and v is not None]
+            assert r.sum == math.fsum(own) and r.known == len(own) and r.mean == math.fsum(own) / len(own)
+        assert exact_sums(df, [], "v").first()["sum"] == math.fsum(v for v in values if v is not None)
+
+
+def test_exact_sums_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", inf), ("a", 1.0), ("b", inf), ("b", -inf), ("c", None), ("d", 5e-280), ("d", 1e300), ("d", -1e300),
+            ("e", 0.0), ("f", -1.0), ("f", 2.0**-60), ("g", nan)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.sum for r in exact_sums(df, ["g"], "v").collect()}
+    assert got["a"] == inf and math.isnan(got["b"]) and got["c"] is None and got["d"] == 5e-280
+    assert got["e"] == 0.0 and got["f"] == -1.0 and math.isnan(got["g"])
+    assert exact_sums(df.limit(0), ["g"], "v").collect() == []
+
+
+@pytest.mark.parametrize("limit", [None, 100])
+def test_exact_running_sums_have_the_same_bits_in_chunks(spark, limit):
+    values = odd_doubles(1500, 5)
+    rows = [(i, "hot" if i % 3 else f"g{i % 9}", v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i long, g string, v double").repartition(4)
+    got = windows.running_sum(df, ["g"], ["i"], "v", max_group_rows=limit, exact=True).collect()
+    seen = {}
+    for r in sorted(got, key=lambda r: r.i):
+        if r.v is not None:
+            seen.setdefault(r.g, []).append(r.v)
+        assert r.cumulative_sum == (math.fsum(seen[r.g]) if r.g in seen else None), r
+    assert len(got) == len(rows)
+
+
+def test_exact_running_sums_of_zeros_and_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1, 0.0), (2, None), (3, 0.0)], "i int, v double").withColumn("g", F.lit(1))
+    got = windows.running_sum(df, ["g"], ["i"], "v", exact=True).orderBy("i").collect()
+    assert [r.cumulative_sum for r in got] == [0.0, 0.0, 0.0]
+    df = spark.createDataFrame([(1, 1.5), (2, inf), (3, 2.0)], "i int, v double").withColumn("g", F.lit(1))
+    got = windows.running_sum(df, ["g"], ["i"], "v", exact=True).orderBy("i").collect()
+    assert [r.cumulative_sum for r in got] == [1.5, inf, inf]
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 150, 1])
+def test_the_report_ranges_the_rows_once_per_key(spark, monkeypatch, limit):
+    pick = random.Random(2)
+    rows = [(i, pick.choice("aaab"), pick.choice("xyyy"), f"2024-01-{1 + i % 28:02d}", float(pick.randrange(100)))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "n long, id string, grp string, day string, amount double")
+    roles = Roles(id="id", group="grp", date="day", amount="amount")
+    ranged = []
+    monkeypatch.setattr(windows, "in_chunks", lambda *a: ranged.append(a[1]) or skew.in_chunks(*a))
+    got = {r.n: r for r in window_report(df, roles, "n", limit).collect()}
+    assert ranged == ([] if limit > 600 else [["id"], ["grp"]])
+    ordered = sorted(rows, key=lambda r: (r[3], r[0]))
+    total = sum(r[4] for r in rows)
+    for n, i, g, day, amount in rows:
+        before = [r for r in ordered if r[1] == i and (r[3], r[0]) <= (day, n)]
+        after = [r[4] for r in ordered if r[1] == i and (r[3], r[0]) > (day, n)]
+        mine = got[n]
+        assert mine.cumulative_sum == pytest.approx(sum(r[4] for r in before if r[2] == g))
+        assert mine.moving_avg_3 == pytest.approx(sum(r[4] for r in before[-3:]) / len(before[-3:]))
+        assert mine.prev_amount == (before[-2][4] if len(before) > 1 else None)
+        assert mine.next_amount == (after[0] if after else None)
+        higher = [r[4] for r in rows if r[2] == g and r[4] > amount]
+        assert (mine.rank_in_group, mine.dense_rank_in_group) == (len(higher) + 1, len(set(higher)) + 1)
+        assert mine.group_sum == pytest.approx(sum(r[4] for r in rows if r[2] == g)) and mine.total_sum == pytest.approx(total)
