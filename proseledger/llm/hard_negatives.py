@@ -183,7 +183,7 @@ def _prepared(df: DataFrame, anchors: Column, scale: int, id_col: str, vector_co
 
 
 def _codebooks(rows: DataFrame, count: int, width: int, codewords: int | None) -> tuple[np.ndarray, np.ndarray]:
-    chosen = F.pmod(F.xxhash64("row", "id"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / count) * (1 << 30))
+    chosen = F.pmod(F.xxhash64("row", "id"), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / max(count, 1)) * (1 << 30))
     sample = vectors([bytes(r.v) for r in rows.where(chosen).limit(2 * SAMPLE_ROWS).select("v").collect()], width)
     if not len(sample):
         sample = np.zeros((1, width), np.int32)

@@ -498,10 +498,10 @@ def near_duplicates(
             "fp", "least", F.coalesce("component", "fp").alias("component")
         ), "components",
     )
-    ids = by_set.groupBy(F.col("component").alias("_of")).agg(F.min("least").alias("_component_id"))
-    by_set = store(
-        by_set.join(ids, F.col("component") == F.col("_of")).select(F.col("fp").alias("_set"), "_component_id"), "by_set"
-    )
+    # A component may hold a third of all sets.
+    ids = by_set.groupBy("component").agg(F.min("least").alias("_component_id"), F.count("*").alias("_rows"))
+    by_set = attach(by_set, ids, ["component"], "_rows").select(F.col("fp").alias("_set"), "_component_id")
+    by_set = store(by_set, "by_set")
     return _labelled(sets, by_set)
 
 
