@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import sales_queries, stat_queries, table_queries, text_queries
+from . import sales_queries, scale_queries, stat_queries, table_queries, text_queries
 from .query import Query
 
 # A report read back from JSON is the summary it was made from.
@@ -11,6 +11,7 @@ QUERIES: dict[str, Query] = {
     **sales_queries.QUERIES,
     **stat_queries.QUERIES,
     **table_queries.QUERIES,
+    **scale_queries.QUERIES,
     "json_report": table_queries.QUERIES["json_report"]._replace(
         sql=text_queries.QUERIES["sentiment_summary"].sql
     ),
