@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -30,7 +32,7 @@ from .windows import running_sum
 
 QUANTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 # Brackets come from a summary whose ranks are right within 1 / BRACKET_ACCURACY.
-BRACKET_ACCURACY = 500
+BRACKET_ACCURACY = 400
 # Summaries of the tasks meet in so many groups before they meet in one.
 MERGE_GROUPS = 64
 
@@ -53,14 +55,15 @@ def summaries(df: DataFrame, columns: Sequence[str], accuracy: int) -> DataFrame
     point is the least value, the last the greatest.
     """
     points = 2 * accuracy
-    at = F.array(*[F.lit(i / points) for i in range(points + 1)])
+    # Written as text: a column object for each of so many numbers would take longer than the scan.
+    at = ", ".join(f"{i / points!r}D" for i in range(points + 1))
     # Which task a row is in decides only where its summary goes.
     known = df.select([_image(F.col(c)).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     known = known.where(F.col("value").isNotNull()).withColumn(
         "_group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
     )
     grouped = known.groupBy("column", "_group").agg(
-        F.percentile_approx("value", at, 4 * accuracy).alias("at"), F.count("*").alias("n")
+        F.expr(f"percentile_approx(value, array({at}), {4 * accuracy})").alias("at"), F.count("*").alias("n")
     )
     listed = grouped.select("column", "n", F.posexplode("at").alias("i", "value"))
     weight = F.when(F.col("i") > 0, F.col("n") / points).otherwise(0.0)
@@ -75,28 +78,24 @@ def summaries(df: DataFrame, columns: Sequence[str], accuracy: int) -> DataFrame
     )
 
 
-def _target(fraction: float, total: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(F.lit(float(fraction)) * total))
+def _target(fraction: Column, total: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(fraction * total))
 
 
 def _brackets(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, list]:
     """Per column: disjoint, ascending ranges of doubles that hold the values at the fractions."""
     points = summaries(df, columns, BRACKET_ACCURACY)
-    total, upto, value = F.col("total"), F.col("upto"), F.col("value")
-    slack = total / (4 * BRACKET_ACCURACY)
-    ends = []
-    for i, fraction in enumerate(fractions):
-        rank = _target(fraction, total)
-        ends.append(F.max(F.when(upto + 3 * slack < rank - 1, value)).alias(f"low{i}"))
-        ends.append(F.min(F.when(upto - slack >= rank + 1, value)).alias(f"high{i}"))
-    found = {}
-    for row in points.groupBy("column").agg(*ends).collect():
-        ranges = []
-        for i in range(len(fractions)):
-            low, high = row[f"low{i}"], row[f"high{i}"]
-            ranges.append((-math.inf if low is None else low, math.inf if high is None else high))
-        found[row.column] = _disjoint(ranges)
-    return found
+    upto, value, rank = F.col("upto"), F.col("value"), _target(F.col("fraction"), F.col("total"))
+    slack = F.col("total") / (4 * BRACKET_ACCURACY)
+    asked = points.withColumn("fraction", F.explode(F.array(*[F.lit(f) for f in fractions])))
+    ends = asked.groupBy("column", "fraction").agg(
+        F.max(F.when(upto + 3 * slack < rank - 1, value)).alias("low"),
+        F.min(F.when(upto - slack >= rank + 1, value)).alias("high"),
+    )
+    ranges: dict[str, list] = {}
+    for column, _, low, high in ends.collect():
+        ranges.setdefault(column, []).append((-math.inf if low is None else low, math.inf if high is None else high))
+    return {column: _disjoint(found) for column, found in ranges.items()}
 
 
 def _disjoint(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -109,26 +108,32 @@ def _disjoint(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _piece(image: Column, ranges: list[tuple[float, float]]) -> Column:
-    """The part of the order a value is in: odd inside a range, even between two."""
-    chosen = F.when(image.isNull(), F.lit(None).cast("int"))
-    for i, (low, high) in enumerate(ranges):
-        chosen = chosen.when(image < low, 2 * i).when(image <= high, 2 * i + 1)
-    return chosen.otherwise(2 * len(ranges))
-
-
 def _counted(df: DataFrame, brackets: dict[str, list], kinds: dict[str, str], fields: dict[str, str]) -> DataFrame:
-    """Rows (column, piece, value, n): per piece, and inside the ranges per value."""
+    """Rows (column, piece, value, n): per piece of the order, and inside the ranges per value.
+
+    A piece's number is odd inside a range and even between two.
+    """
     cells = []
-    for column, ranges in brackets.items():
+    for column in brackets:
         value = F.col(column).cast(kinds[column])
-        piece = _piece(_image(value), ranges)
-        own = {field: F.when(piece % 2 == 1, value) if kind == kinds[column] else F.lit(None).cast(kind)
-               for kind, field in fields.items()}
-        cells.append(F.struct(piece.alias("piece"), *[v.alias(f) for f, v in own.items()]).alias(column))
+        own = [(value if kind == kinds[column] else F.lit(None).cast(kind)).alias(f) for kind, f in fields.items()]
+        cells.append(F.struct(_image(value).alias("_image"), *own).alias(column))
     rows = df.select(cells).unpivot([], list(brackets), "column", "cell")
-    rows = rows.select("column", "cell.*").where(F.col("piece").isNotNull())
-    return store(rows.groupBy("column", "piece", *fields.values()).agg(F.count("*").alias("n")), "bracketed")
+    rows = rows.select("column", "cell.*").where(F.col("_image").isNotNull())
+    # One row per column; where one has fewer ranges than another, the rest lie above all values.
+    most = max(len(ranges) for ranges in brackets.values())
+    ends = {f"_{end}{i}": [(r + [(math.nan, math.nan)] * most)[i][k] for r in brackets.values()]
+            for i in range(most) for k, end in enumerate(("low", "high"))}
+    bounds = df.sparkSession.createDataFrame(
+        pa.table({"_of": pa.array(brackets, pa.string()), **{n: pa.array(v, pa.float64(), from_pandas=False) for n, v in ends.items()}})
+    )
+    placed = rows.join(F.broadcast(bounds), F.col("column") == F.col("_of"))
+    image = F.col("_image")
+    passed = [(image >= F.col(f"_low{i}")).cast("int") + (image > F.col(f"_high{i}")).cast("int") for i in range(most)]
+    placed = placed.withColumn("piece", reduce(add, passed))
+    inside = [F.when(F.col("piece") % 2 == 1, F.col(f)).alias(f) for f in fields.values()]
+    placed = placed.select("column", "piece", *inside)
+    return store(placed.groupBy("column", "piece", *fields.values()).agg(F.count("*").alias("n")), "bracketed")
 
 
 def select_ranks(
