@@ -24,16 +24,31 @@ ITEMS_PER_PART = 50_000
 CLOSED_WASTE = 0.005
 # Characters whose classes (letter, number, white space) are the same in all Unicode tables in use.
 _UNSETTLED = re.compile(r"[^\x00-\u0233]")
+# The faster library gives up on runs of some 10^6 white-space characters.
+LONGEST_SPACE = 50_000
+_SPACE_RUN = re.compile(r"\s+")
 _tokenizers: dict[str, tuple] = {}
 
 
-def _ranks(path: str) -> dict[bytes, int]:
+def _is_plain_byte_bpe(content: dict) -> bool:
+    """Whether a tokenizer file cuts by PATTERN, and merges in the order of the ids, with nothing before or between."""
+    cut, model = content.get("pre_tokenizer") or {}, content["model"]
+    if cut != cut | {"type": "ByteLevel", "add_prefix_space": False} or not cut.get("use_regex", True):
+        return False
+    if content.get("normalizer") or model.get("type") != "BPE" or any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+    ):
+        return False
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"].get(token, -1) for token in merged]
+    return ids == sorted(ids) and len(ids) == len(set(ids)) and min(ids, default=0) >= 0
+
+
+def _ranks(content: dict) -> dict[bytes, int]:
     """The tokens of a byte-level BPE file as bytes: bytes that don't print stand for 256 and up."""
     printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printing]
     byte_of = {chr(b): b for b in printing} | {chr(256 + i): b for i, b in enumerate(others)}
-    with open(path, encoding="utf-8") as file:
-        content = json.load(file)
     added = {token["content"] for token in content["added_tokens"]}
     return {
         bytes(byte_of[c] for c in token): rank
@@ -44,9 +59,9 @@ def _ranks(path: str) -> dict[bytes, int]:
 def encode(texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of each text by the tokenizer file, without special tokens: their strings are ordinary text.
 
-    Texts of Latin letters and what goes with them are encoded by a faster
-    library from the vocabulary of the same file; the tests hold it against the
-    tokenizer. All other texts go to the tokenizer itself.
+    Where the file is a plain byte-level BPE, texts of Latin letters and what goes with them are
+    encoded by a faster library from the vocabulary of the same file; the tests hold it against the
+    tokenizer. All other texts, and those with very long white space, go to the tokenizer itself.
     """
     if path not in _tokenizers:
         # The tasks of an executor share its cores already.
@@ -55,13 +70,25 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=_ranks(path), special_tokens={})
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        fast = None
+        if _is_plain_byte_bpe(content):
+            fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=_ranks(content), special_tokens={})
         _tokenizers[path] = tokenizer, fast
     tokenizer, fast = _tokenizers[path]
+
+    def is_for_fast(text: str) -> bool:
+        if fast is None or _UNSETTLED.search(text):
+            return False
+        return len(text) <= LONGEST_SPACE or all(
+            m.end() - m.start() <= LONGEST_SPACE for m in _SPACE_RUN.finditer(text)
+        )
+
     return [
-        np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        if _UNSETTLED.search(text)
-        else fast.encode_to_numpy(text, disallowed_special=())
+        fast.encode_to_numpy(text, disallowed_special=())
+        if is_for_fast(text)
+        else np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         for text in texts
     ]
 
