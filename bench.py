@@ -28,6 +28,8 @@ NAMES = [
     "share_of_total", "share_of_total_join", "order_summary",
     "basic_summary", "profile", "correlations", "quantile_histogram", "mode_category",
     "mixed_stats", "sentiment_category", "reconcile_udf_builtin",
+    "quantiles_selected", "typed_order_statistics", "window_report_large_groups", "running_sum_exact",
+    "group_sums_exact", "correlations_many_columns", "top_words", "table_differences", "profile_files",
 ]
 RUNS, HEADLINE_RUNS = 3, 5
 
