@@ -11,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import attach
 from .common import (
     ID, TEXT, as_bytes, map_batches, mix, narrow, salted, slices, small_side, store, text_key,
     word_bounds, word_hashes,
 )
 from .graph import components
+from .places import BLOCK_ROWS, by_place, in_places, larger_components, links_of
 
 # Tokens are counted in this many cells; common cells come last in every order.
 CELLS = 1 << 17
@@ -25,11 +27,12 @@ ORDERS = 3
 CLASSES_OF_SIZE = 7.0
 # In buckets up to this size all neighbours are compared from the start.
 SMALL_BUCKET = 8
-# Rounds in which each set is compared with the nearest that no links lead to.
-NEAREST_ROUNDS = 0
-# A bucket of more rows than this is cut into blocks, and pairs of blocks are compared apart.
-BLOCK_ROWS = 2_000
+# Bytes of the shortest signature.
+LEAST_BYTES = 16
 PREFIXES = [f"prefix{order}" for order in range(1, ORDERS)]
+# One of the prefix under each order, and one of the whole set.
+KINDS = ORDERS + 1
+SIGNATURES = [name for kind in range(KINDS) for name in (f"bits{kind}", f"lost{kind}")]
 _COEFFICIENTS = salted(64, 2)
 _ORDER_SALTS = salted(ORDERS, 3)
 
@@ -257,59 +260,6 @@ def _chains(percent: int):
     return rows
 
 
-def _cross_pairs(percent: int):
-    """Per bucket (sorted by block pair, token and n): pairs of different components."""
-
-    def rows(batches):
-        rest = None
-
-        def emit(token, side, fp, n, comp, held):
-            n = n.astype(np.int64)
-            # All rows against those so many places behind, as long as any are in reach.
-            at, distance = np.arange(len(token)), 0
-            left, right, waiting = [], [], 0
-            while len(at):
-                distance += 1
-                at = at[at + distance < len(token)]
-                to = at + distance
-                # Behind a set too large for this one there are only larger ones.
-                reach = (token[at] == token[to]) & (n[at] * 100 >= n[to] * percent)
-                at, to = at[reach], to[reach]
-                # Two different blocks: pairs inside either have a place of their own.
-                apart = (comp[at] != comp[to]) & ((side[at] != side[to]) | (side[at] == 2))
-                # Neither shares more tokens with any other than it has in buckets.
-                common = -(-percent * (n[at] + n[to]) // (100 + percent))
-                need = common + (-percent * np.maximum(n[at], n[to]) // 100) + 1
-                apart &= np.minimum(held[at], held[to]) >= need
-                if apart.any():
-                    left.append(at[apart])
-                    right.append(to[apart])
-                    waiting += len(left[-1])
-                if left and (waiting >= 200_000 or not len(at)):
-                    a, b = np.concatenate(left), np.concatenate(right)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in (fp[a], fp[b], n[a], n[b])], ["a", "b", "n", "m"]
-                    )
-                    left, right, waiting = [], [], 0
-
-        for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            if rest is not None:
-                columns = [np.concatenate([x, y]) for x, y in zip(rest, columns)]
-            if len(columns[0]) == 0:
-                continue
-            last = int(np.flatnonzero(columns[0] != columns[0][-1])[-1]) + 1 if (
-                columns[0][0] != columns[0][-1]
-            ) else 0
-            if last:
-                yield from emit(*[c[:last] for c in columns])
-            rest = [c[last:] for c in columns]
-        if rest is not None:
-            yield from emit(*rest)
-
-    return rows
-
-
 def _further_prefixes(df: DataFrame, wanted: DataFrame, levels, size: int, percent: int) -> DataFrame:
     """fp, n and the prefixes of wanted sets under the orders after the first.
 
@@ -473,9 +423,10 @@ def similar_sets(
     members = found.where("kind = 1").select(
         F.col("a").alias("token"), F.col("b").alias("fp"), "n"
     )
+    with_hubs, tops = _with_hubs(members, percent)
     neighbours = store(
         ordered(found.where("kind <> 1"), "kind").unionByName(
-            ordered(_with_hubs(members, percent).withColumn("kind", F.lit(0).cast("byte")), "kind")
+            ordered(with_hubs.withColumn("kind", F.lit(0).cast("byte")), "kind")
         ).groupBy("a", "b")
         .agg(F.min("kind").alias("kind"), F.count("*").alias("shared"), least.alias("least"))
         .where("kind = 0 or shared >= least").select("a", "b"), "neighbours",
@@ -483,31 +434,13 @@ def similar_sets(
     join = _Join(base, sets, levels, size, percent)
     links = join.verified(neighbours, join.prefixes_of(neighbours))
 
-    # Then what the links so far don't connect: some rounds of each set with the one it shares
-    # most prefix tokens with, and after that all that are still apart.
-    tested, short, whole = neighbours, None, None
-    for turn in range(NEAREST_ROUNDS + 1):
-        apart = _crossing(members, links, found, ordered, least, percent)
-        apart = store(apart.join(tested, ["a", "b"], "left_anti"), "crossing")
-        if short is None:
-            short, whole = join.prefixes_of(apart), join.sets_of(apart)
-        if turn < NEAREST_ROUNDS:
-            toward = apart.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared")
-            toward = toward.unionByName(
-                apart.select(F.col("b").alias("x"), F.col("a").alias("y"), "shared")
-            )
-            apart = toward.groupBy("x").agg(F.max_by("y", F.struct("shared", "y")).alias("y"))
-            apart = store(
-                apart.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
-                "nearest",
-            )
-            tested = tested.unionByName(apart)
-        links = links.unionByName(join.verified(apart, short, whole))
-    return sets, links
+    # Then what the links so far don't connect, in the tasks.
+    return sets, links.unionByName(_links_across(members, tops, links, join))
 
 
-def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each member with the hub of its size in every bucket, and of these with the bucket's.
+def _with_hubs(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each member with the hub of its size in every bucket, and of these with the bucket's;
+    and the hub ``top`` and the rows of every bucket.
 
     The hub is the set whose buckets hold most members together. Of near copies
     it is one without changes of its own, which is nearest to the others.
@@ -525,13 +458,13 @@ def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
     best = F.max_by(F.struct("fp", "n"), F.struct("reach", "fp"))
     hubs = store(
         ranked.groupBy(F.col("token").alias("_token"), F.col("cls").alias("_cls"))
-        .agg(best.alias("hub"), F.max("reach").alias("reach")), "hubs",
+        .agg(best.alias("hub"), F.max("reach").alias("reach"), F.count("*").alias("_rows")), "hubs",
     )
     tops = hubs.groupBy(F.col("_token").alias("_of")).agg(
-        F.max_by("hub", F.struct("reach", "hub")).alias("top")
+        F.max_by("hub", F.struct("reach", "hub")).alias("top"), F.sum("_rows").alias("_rows")
     )
     to_hub = ranked.join(
-        hubs.drop("reach"), (F.col("token") == F.col("_token")) & (F.col("cls") == F.col("_cls"))
+        hubs.drop("reach", "_rows"), (F.col("token") == F.col("_token")) & (F.col("cls") == F.col("_cls"))
     ).select(F.col("fp").alias("a"), F.col("hub.fp").alias("b"), F.col("n"), F.col("hub.n").alias("m"))
     to_top = hubs.join(tops, F.col("_token") == F.col("_of")).select(
         F.col("hub.fp").alias("a"), F.col("top.fp").alias("b"), F.col("hub.n").alias("n"), F.col("top.n").alias("m")
@@ -539,58 +472,163 @@ def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
     pairs = to_hub.unionByName(to_top).where("a <> b").select(
         "a", "b", F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m")
     )
-    return pairs.where(f"100 * n >= {percent} * m").distinct()
+    pairs = pairs.where(f"100 * n >= {percent} * m").distinct()
+    return pairs, tops.select(F.col("_of").alias("token"), F.col("top.fp").alias("top"), "_rows")
+
+
+def signature(tokens: np.ndarray, size: int) -> bytes:
+    """Bits of some tokens: one for each, by its hash."""
+    bits = np.zeros(size * 8, bool)
+    bits[(tokens >> np.uint64(7)) % np.uint64(size * 8)] = True
+    return np.packbits(bits).tobytes()
 
 
-def _crossing(members, links, found, ordered, least, percent: int) -> DataFrame:
-    """``a, b, shared``: sets with enough common prefix tokens that the links don't connect."""
+def signature_bytes(tokens: int) -> int:
+    """Two to four bits a token, in a power of two of bytes."""
+    return max(LEAST_BYTES, 1 << max(0, (tokens - 1).bit_length() - 2))
+
+
+def _signatures(df: DataFrame, wanted: DataFrame, levels, size: int, percent: int) -> DataFrame:
+    """fp, n and the signatures of the prefix under every order and of the whole set, each with
+    how many tokens fell on a bit that was set."""
+
+    def rows(batches):
+        seen: set[int] = set()
+        table = levels.value
+        for batch in batches:
+            for _, _, texts in _texts(batch):
+                sets = shingle_sets(texts, size)
+                fps, ns = fingerprints(sets), np.diff(sets.bounds)
+                fresh = []
+                for at, fp in enumerate(fps.tolist()):
+                    if ns[at] and fp not in seen:
+                        fresh.append(at)
+                        seen.add(fp)
+                if len(seen) >= 200_000:
+                    seen.clear()
+                columns = []
+                for kind in range(KINDS):
+                    every = prefixes(sets, table, kind, percent) if kind < ORDERS else sets.split(sets.tokens)
+                    bits = [signature(every[at], signature_bytes(len(every[at]))) for at in fresh]
+                    set_ = [int(np.bitwise_count(np.frombuffer(b, np.uint8)).sum(dtype=np.int64)) for b in bits]
+                    lost = np.array([len(every[at]) for at in fresh], np.int64) - np.array(set_, np.int64)
+                    columns += [pa.array(bits, pa.binary()), pa.array(lost)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fps[fresh]), pa.array(ns[fresh]), *columns], ["fp", "n", *SIGNATURES]
+                )
+
+    kinds = ", ".join(f"{c} {'long' if c.startswith('lost') else 'binary'}" for c in SIGNATURES)
+    made = map_batches(df, rows, f"fp long, n long, {kinds}")
+    return store(made.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "signatures")
+
+
+class _Bits:
+    """The signatures of one kind of all rows of a place.
+
+    Two sets share no more tokens than their signatures have common bits and the one with
+    fewer lost tokens has lost. Widths differ by a factor of two at most where sizes
+    allow a link; the wider signature is folded then, and the other one's loss counts.
+    """
+
+    def __init__(self, raw: list[bytes], lost: np.ndarray) -> None:
+        self.width, self.lost = np.array([len(b) for b in raw]), lost
+        self.place, self.whole, self.half = np.empty(len(raw), np.int64), {}, {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.place[rows] = np.arange(len(rows))
+            self.whole[w] = np.frombuffer(b"".join(raw[i] for i in rows), "<u8").reshape(len(rows), -1)
+            if w > LEAST_BYTES:
+                self.half[w] = self.whole[w][:, :w // 16] | self.whole[w][:, w // 16:]
+
+    def most_shared(self, at: int, rows: np.ndarray) -> np.ndarray:
+        """No more tokens than this does a row share with each of others."""
+        # Where widths differ more, nothing is known.
+        w, out = int(self.width[at]), np.full(len(rows), np.iinfo(np.int64).max)
+        for v, theirs, mine in ((w, self.whole, self.whole), (2 * w, self.half, self.whole), (w // 2, self.whole, self.half)):
+            here = np.flatnonzero(self.width[rows] == v)
+            if not len(here):
+                continue
+            some = rows[here]
+            common = np.bitwise_count(theirs[v][self.place[some]] & mine[w][self.place[at]]).sum(1, dtype=np.int64)
+            own, other = self.lost[at], self.lost[some]
+            out[here] = common + (np.minimum(own, other) if v == w else own if v > w else other)
+        return out
+
+
+def _agreeing(table: pa.Table, percent: int):
+    """Pairs (a row of a place, several others) of different components that may share enough tokens.
+
+    Enough of the prefix under each order, then enough of the whole set, by their signatures.
+    """
+    column = lambda name: table.column(name).to_numpy()
+    n = column("n")
+    bits = [_Bits(table.column(f"bits{k}").to_pylist(), column(f"lost{k}")) for k in range(KINDS)]
+    for at, rows in larger_components(column("side"), n, column("comp"), percent):
+        for k in range(KINDS):
+            common = -(-percent * (n[rows] + n[at]) // (100 + percent))
+            if k < ORDERS:
+                common -= -(-percent * np.maximum(n[rows], n[at]) // 100) - 1
+            rows = rows[bits[k].most_shared(at, rows) >= np.maximum(common, 1)]
+            if not len(rows):
+                break
+        if len(rows):
+            yield at, rows
+
+
+def _with_candidates(percent: int):
+    """Of each place, the rows that may be similar enough to one of another component."""
+
+    def of_place(table: pa.Table):
+        chosen = np.zeros(table.num_rows, bool)
+        for at, other in _agreeing(table, percent):
+            chosen[at] = True
+            chosen[other] = True
+        if chosen.any():
+            kept = table.select(["place", "side", "fp", "comp"]).filter(pa.array(chosen))
+            yield from kept.to_batches()
+
+    return by_place(of_place)
+
+
+def _confirmed_links(percent: int):
+    """Of each place, links by whole sets that join its components."""
+
+    def of_place(table: pa.Table):
+        yield from links_of(table, _agreeing(table, percent), percent)
+
+    return by_place(of_place)
+
+
+def _links_across(members: DataFrame, tops: DataFrame, links: DataFrame, join: _Join) -> DataFrame:
+    """Links between sets that share a bucket and that the links so far don't connect.
+
+    Buckets with the same hub are one: sets that share a bucket share its hub, and a near copy's many
+    buckets have few. Signatures of the prefixes in all orders find the sets that may have a
+    link, and these are compared as a whole.
+    """
     known = store(components(links), "components").select(
         F.col("node").alias("_node"), F.col("component").alias("_component")
     )
-    members = store(
-        members.join(known, F.col("fp") == F.col("_node"), "left").select(
-            "token", "fp", "n", F.coalesce("_component", "fp").alias("comp")
-        ), "members",
-    )
-    mixed = store(
-        members.groupBy("token")
-        .agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_rows"))
-        .where("_low < _high")
-        .select(F.col("token").alias("_of"), F.ceil(F.col("_rows") / BLOCK_ROWS).alias("_blocks")),
-        "mixed",
-    )
-    # How many prefix tokens of a set others have too.
-    held = (
-        members.select("fp")
-        .unionByName(found.where("kind = 2").select(F.explode(F.array("a", "b")).alias("fp")))
-        .groupBy(F.col("fp").alias("_fp")).agg(F.count("*").alias("held"))
-    )
-    members = members.join(held, F.col("fp") == F.col("_fp")).drop("_fp")
-    inside = members.join(mixed, F.col("token") == F.col("_of")).withColumn(
-        "_block", F.pmod(F.xxhash64("fp"), F.col("_blocks"))
-    )
-    # A member goes to all pairs of blocks that hold its own; side 2: the pair of a block with itself.
-    placed = inside.withColumn(
-        "_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    ).select(
-        F.xxhash64(
-            "token", F.least("_block", "_other"), F.greatest("_block", "_other")
-        ).alias("place"),
-        F.when(F.col("_block") == F.col("_other"), 2)
-        .when(F.col("_block") < F.col("_other"), 0).otherwise(1).cast("int").alias("side"),
-        "fp", "n", "comp", "held",
-    )
-    placed = placed.repartition("place").sortWithinPartitions("place", "n", "fp")
-    rest = map_batches(placed, _cross_pairs(percent), "a long, b long, n long, m long")
-    # Every bucket that two sets share has been looked into: their common prefix tokens are counted.
-    counted = ordered(rest).withColumn("crossing", F.lit(True)).unionByName(
-        ordered(found.where("kind = 2")).withColumn("crossing", F.lit(False))
-    )
-    return (
-        counted.groupBy("a", "b")
-        .agg(F.max("crossing").alias("crossing"), F.count("*").alias("shared"), least.alias("least"))
-        .where("crossing and shared >= least").select("a", "b", "shared")
+    met = attach(members, tops, ["token"], "_rows").select("top", "fp", F.col("n").cast("long").alias("n")).distinct()
+    met = met.join(known, F.col("fp") == F.col("_node"), "left")
+    met = store(met.select("top", "fp", "n", F.coalesce("_component", "fp").alias("comp")), "members")
+    placed = store(in_places(met, "top", BLOCK_ROWS).drop("top"), "placed")
+    wanted = small_side(store(placed.select("fp").distinct(), "ends"))
+    bits = _signatures(join.base, wanted, join.levels, join.size, join.percent)
+
+    def placed_with(rows: DataFrame, table: DataFrame) -> DataFrame:
+        joined = rows.join(table.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).drop("_fp")
+        return joined.repartition("place").sortWithinPartitions("place")
+
+    near = store(
+        map_batches(
+            placed_with(placed, bits), _with_candidates(join.percent), "place long, side int, fp long, comp long"
+        ), "crossing",
     )
+    whole = _whole_sets(join.base, near.select("fp").distinct(), join.sets, join.size)
+    both = bits.join(whole.select(F.col("fp").alias("_of"), "tokens"), F.col("fp") == F.col("_of")).drop("_of")
+    found = map_batches(placed_with(near, both), _confirmed_links(join.percent), "a long, b long")
+    return store(found.distinct(), "crossing_links")
 
 
 def near_duplicates(
@@ -612,10 +650,10 @@ def near_duplicates(
     one order, and must also share prefix tokens (as many as follow from their
     sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
     keeps passages that many documents share out of the prefixes. Candidates
-    are first each set with the hub of its size in every bucket, then all pairs
-    that the links found so far don't connect. So a group of n near copies costs n, not
-    n^2; large buckets with several groups are compared in pairs of blocks.
-    No bucket is capped.
+    are first each set with the hub of its size in every bucket, then, within the tasks, all pairs
+    that the links found so far don't connect. Rows are written per set and bucket and per link that joins two
+    components, never per pair; large buckets with several groups are compared in pairs of blocks.
+    No bucket is capped. The links found connect what similar sets connect; they are not all pairs of similar sets.
 
     Sets and tokens are known by 64-bit hashes. A NULL or empty text, or one of
     white space only, has ``n_shingles`` 0 and is linked with nothing. Ids may

@@ -24,6 +24,7 @@ from .common import (
 )
 from .graph import components
 from .ngram_join import Sets, fingerprints, shingle_sets
+from .places import BLOCK_ROWS, by_place, in_places, larger_components, links_of
 
 REGISTERS = 256
 # Registers of a band; pairs at a similarity of 0.8 miss all 42 bands with a chance below 1e-6.
@@ -34,9 +35,6 @@ BASE = 1.2
 RATE = 20.0
 # A pair is dropped if the wanted similarity is e^10 times less likely than the likeliest.
 SLACK = 10.0
-# A bucket of more rows or elements than this is cut into blocks, and pairs of blocks are compared apart.
-BLOCK_ROWS = 2_000
-BLOCK_TOKENS = 2_000_000
 # A set in more pairs than this is sent to several tasks.
 PAIR_ROWS = 4_096
 _STEPS = salted(1, 13)[0] | np.uint64(1)
@@ -288,19 +286,6 @@ def _with_hubs(members: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 
 
-def _joined(found: np.ndarray, at: int, other: int) -> bool:
-    """Join two components of a place; False if they were one already."""
-    def root(x: int) -> int:
-        while found[x] != x:
-            found[x] = found[found[x]]
-            x = found[x]
-        return x
-
-    a, b = root(at), root(other)
-    found[max(a, b)] = min(a, b)
-    return a != b
-
-
 def _candidates(percent: int, band, side, n, comp, sketch):
     """Pairs (one row, several others) of different components that may be similar enough.
 
@@ -308,17 +293,8 @@ def _candidates(percent: int, band, side, n, comp, sketch):
     costs little. A pair is left to the first band in which it agrees.
     """
     wanted = percent / 100
-    parts, which, rows = np.unique(comp, return_inverse=True, return_counts=True)
-    rank = np.empty(len(parts), np.int64)
-    rank[np.argsort(rows, kind="stable")] = np.arange(len(parts))
-    rank = rank[which]
     bands = bands_of(sketch)
-    for at in np.flatnonzero(rank < len(parts) - 1):
-        other = np.flatnonzero(
-            (rank > rank[at])
-            & ((side != side[at]) | (side == 2))
-            & (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at]))
-        )
+    for at, other in larger_components(side, n, comp, percent):
         other = other[(bands[other, :band] != bands[at, :band]).all(1)]
         x, y = sketch[at], sketch[other]
         other = other[(x == y).sum(1) >= LEAST_EQUAL[percent]]
@@ -330,28 +306,6 @@ def _candidates(percent: int, band, side, n, comp, sketch):
             yield at, other
 
 
-def _by_place(of_place):
-    """Rows of each place (a bucket, or two blocks of one) as one table, for rows sorted by place."""
-
-    def rows(batches):
-        rest: list[pa.RecordBatch] = []
-        for batch in batches:
-            place = batch.column("place").to_numpy()
-            if not len(place):
-                continue
-            begin = 0
-            for end in np.append(np.flatnonzero(np.diff(place)) + 1, len(place)).tolist():
-                if rest and rest[0].column("place")[0].as_py() != place[begin]:
-                    yield from of_place(pa.Table.from_batches(rest))
-                    rest = []
-                rest.append(batch[begin:end])
-                begin = end
-        if rest:
-            yield from of_place(pa.Table.from_batches(rest))
-
-    return rows
-
-
 def _pairs_of(table: pa.Table, percent: int):
     column = lambda name: table.column(name).to_numpy()
     sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
@@ -372,36 +326,16 @@ def _with_candidates(percent: int):
             kept = table.select(["place", "bucket", "side", "fp", "comp"]).filter(pa.array(chosen))
             yield from kept.to_batches()
 
-    return _by_place(of_place)
+    return by_place(of_place)
 
 
 def _confirmed_links(percent: int):
     """Of each place, links by whole sets that join its components: one less than these at most."""
 
     def of_place(table: pa.Table):
-        fp, n = table.column("fp").to_numpy(), table.column("n").to_numpy()
-        # Sorted as unsigned numbers.
-        whole = [t.values.to_numpy().view(np.uint64) for t in table.column("tokens")]
-        found = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1]
-        joined = np.arange(found.max() + 1)
-        left, right = [], []
-        for at, other in _pairs_of(table, percent):
-            mine = whole[at]
-            for begin in range(0, len(other), 256):
-                part = other[begin:begin + 256]
-                tokens = np.concatenate([whole[o] for o in part])
-                place = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
-                starts = np.append(0, np.cumsum(n[part])[:-1])
-                common = np.add.reduceat((mine[place] == tokens).astype(np.int64), starts)
-                enough = 100 * common >= percent * (n[at] + n[part] - common)
-                for o in part[enough].tolist():
-                    if _joined(joined, int(found[at]), int(found[o])):
-                        left.append(min(fp[at], fp[o]))
-                        right.append(max(fp[at], fp[o]))
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["a", "b"])
-
-    return _by_place(of_place)
+        yield from links_of(table, _pairs_of(table, percent), percent)
+
+    return by_place(of_place)
 
 
 def _crossing(members: DataFrame, links: DataFrame, decide: _Sets) -> DataFrame:
@@ -418,20 +352,7 @@ def _crossing(members: DataFrame, links: DataFrame, decide: _Sets) -> DataFrame:
             "bucket", "fp", "n", F.coalesce("_component", "fp").alias("comp")
         ), "members",
     )
-    mixed = members.groupBy("bucket").agg(
-        F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_rows"), F.sum("n").alias("_n")
-    )
-    blocks = F.ceil(F.greatest(F.col("_rows") / BLOCK_ROWS, F.col("_n") / BLOCK_TOKENS))
-    mixed = mixed.where("_low < _high").select("bucket", "_rows", blocks.alias("_blocks"))
-    inside = attach(members, mixed, ["bucket"], "_rows").withColumn(
-        "_block", F.pmod(F.xxhash64("fp"), F.col("_blocks"))
-    )
-    # A member goes to all pairs of blocks that hold its own; side 2: the pair of a block with itself.
-    low, high = F.least("_block", "_other"), F.greatest("_block", "_other")
-    side = F.when(F.col("_block") == F.col("_other"), 2).when(F.col("_block") < F.col("_other"), 0).otherwise(1)
-    placed = inside.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))).select(
-        F.xxhash64("bucket", low, high).alias("place"), "bucket", side.cast("int").alias("side"), "fp", "comp"
-    )
+    placed = in_places(members, "bucket", BLOCK_ROWS)
     sketches = decide.distinct.select(F.col("fp").alias("_fp"), "n", "sketch")
     percent = decide.percent
 

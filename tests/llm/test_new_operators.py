@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from proseledger.llm import fill_middle, hard_negatives, set_sketch
+import corpus_pipeline
+from proseledger.llm import fill_middle, hard_negatives, ngram_join, places, set_sketch
 from proseledger.llm.ngram_join import Sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,6 +89,49 @@ def test_other_sizes_and_similarities(spark):
     assert Counter((r._id, r.n_shingles, r.component_id) for r in got) == plain_components(texts, 3, 70)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join_of_large_groups_against_all_pairs(spark, seed, monkeypatch):
+    """One group of near copies on half of all rows, many of them not alike themselves."""
+    if seed == 2:
+        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 5)
+        monkeypatch.setattr(places, "BLOCK_TOKENS", 300)
+    pick = random.Random(seed)
+    base = [f"b{pick.randrange(300)}" for _ in range(90)]
+    texts = near_copies(seed + 10, 10, 12)
+    for i in range(140):
+        words = list(base)
+        for _ in range(pick.randrange(0, 5)):
+            words[pick.randrange(90)] = f"y{pick.randrange(10**6)}"
+        texts.append((200 + i, " ".join(words[pick.randrange(0, 6):])))
+    texts += [(5, texts[5][1]), (906, LONG), (907, LONG + " more"), (908, None), (909, "")]
+    got = ngram_join.near_duplicates(table_of(spark, texts)).collect()
+    assert Counter((r._id, r.n_shingles, r.component_id) for r in got) == plain_components(texts, 5, 75)
+
+
+def test_the_stage_keeps_one_of_each_group(spark, tmp_path):
+    texts = [(i, t) for i, t in near_copies(31, 15, 10)] + [(900, "so few"), (901, "SO few"), (902, "other words here")]
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(i for (i, _, least) in plain_components(texts, 5, 75) if i == least)
+    assert {tuple(r) for r in kept} <= set(rows)
+
+
+def test_signatures_never_hide_shared_tokens():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        pool = rng.integers(0, 2**64, 300, dtype=np.uint64)
+        a, b = pool[:rng.integers(20, 120)], pool[rng.integers(0, 60):][:rng.integers(20, 120)]
+        shared = len(np.intersect1d(a, b))
+        size = ngram_join.signature_bytes(len(a))
+        x, y = (np.frombuffer(ngram_join.signature(t, size), np.uint8) for t in (a, b))
+        lost = min(len(t) - int(np.bitwise_count(s).sum(dtype=np.int64)) for t, s in ((a, x), (b, y)))
+        common = int(np.bitwise_count(x & y).sum(dtype=np.int64))
+        assert common + lost >= shared
+        folded = x[:size // 2] | x[size // 2:], y[:size // 2] | y[size // 2:]
+        assert (np.frombuffer(ngram_join.signature(a, size // 2), np.uint8) == folded[0]).all()
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**64, 300, dtype=np.uint64)

@@ -90,6 +90,72 @@ def test_encode_is_the_tokenizers():
     assert [e.tolist() for e in packing.encode(texts, TOKENIZER)] == expected
 
 
+def test_long_white_space_and_runs_are_encoded():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    plain.encode_special_tokens = True
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 60_000, " " * 50_000 + "x", "\t " * 40_000, "a" * 200_000, "!" * 200_000,
+             "1" * 200_000, "a\u2003" * 100]
+    for text, got in zip(texts, packing.encode(texts, TOKENIZER)):
+        assert got.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizer_files():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    texts = ["It's a plain text of 3 lines\nand words", "", "  x"]
+    assert [e.tolist() for e in packing.encode(texts, path)] == [
+        plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_long_text_of_signals(spark):
+    rng = np.random.default_rng(4)
+    words = rng.choice(["license", "software", "public", "copyright", "permission", "the", "of", "and"], 100_000)
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    body = next(b for n, b in licenses.TEMPLATES if n == "MIT" and len(b) > 100)
+    text = " ".join(words[:50_000]) + " " + body + " " + " ".join(words[50_000:])
+    rows = spark.createDataFrame([("a/b.txt", text), ("c.txt", notice[:20])], "path string, text string")
+    got = {r.path: r.licence for r in licenses.scan_licenses(rows).collect()}
+    assert got == {"a/b.txt": "MIT", "c.txt": None}
+
+
+def cosine_of(a, b, idf):
+    weights = [Counter({w: n * idf(w) for w, n in Counter(t).items()}) for t in (a, b)]
+    dot = sum(weights[0][w] * weights[1][w] for w in weights[0])
+    return dot / math.prod(math.sqrt(sum(v * v for v in w.values())) for w in weights)
+
+
+def test_cosines_of_lines_recomputed(spark):
+    """One-line texts: the documents of the TF-IDF are these lines and the templates."""
+    lines = ["Licensed under the MIT licence by me", "Released under the Apache License", "public software of the town",
+             "This work is licensed under a Creative Commons Attribution 4.0 License", "permission denied"]
+    words = lambda t: [w for w in (x.strip(".-") for x in re.split(r"[^a-z0-9.\-]+", t.lower())) if w]
+    documents = [words(t) for t in lines] + [words(b) for _, b in licenses.TEMPLATES]
+    counts = Counter(w for d in documents for w in set(d))
+    idf = lambda w: math.log(len(documents) / max(counts[w], 1)) + 1
+    rows = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(lines)], "path string, text string")
+    got = {r.path: r for r in licenses.scan_licenses(rows, min_cosine=0.3).collect()}
+    for i, t in enumerate(lines):
+        own = words(t)
+        templates = [words(body) for _, body in licenses.TEMPLATES]
+        passages = [own]
+        for template in templates:
+            for at, w in enumerate(template):
+                for j, v in enumerate(own):
+                    same = v == w or (v, w) in (("licence", "license"), ("licenced", "licensed"))
+                    if w in licenses.SIGNALS and same:
+                        passages.append(own[max(j - at, 0):max(j - at + len(template), 0)])
+        best = max(cosine_of(p, template, idf) for p in passages if p for template in templates)
+        if best >= 0.3:
+            assert got[f"f{i}"].cosine == pytest.approx(best), (t, got[f"f{i}"])
+        else:
+            assert got[f"f{i}"].licence is None
+
+
 def test_licenses(spark, docs, empty):
     rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/x.py", None), ("a/b/x.py", None),
             ("a/b/COPYING.txt", "Licensed under CC BY-NC 4.0."), ("z", ""), (None, "x"),
