@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -25,13 +25,15 @@ def _sums(hashes: np.ndarray, count: int, seed: int) -> np.ndarray:
     return mix(out)
 
 
-def line_windows(text: bytes, gram: int, window: int, min_words: int):
+def line_windows(text: bytes, gram: int, window: int, own_words: int):
     """For each fingerprint of a text: its hash, and the runs of lines it is the least gram of.
 
+    Of each run: where it starts, its hash, its words and those of its first line.
+
     A gram is ``gram`` lines in a row, a run ``gram + window - 1`` lines, that
     is ``window`` grams; the least gram of a run, the leftmost of equal ones, is
     its fingerprint. Lines are compared without white space at their ends, and
-    lines without a word don't count.
+    lines without a word don't count. Runs of fewer than ``own_words`` words are left out.
     """
     lines = [line.strip(_SPACE) for line in text.split(b"\n")]
     lines = [line for line in lines if line]
@@ -44,44 +46,48 @@ def line_windows(text: bytes, gram: int, window: int, min_words: int):
     runs = _sums(hashes, run, 16)
     views = np.lib.stride_tricks.sliding_window_view(grams, window)
     least = np.arange(len(views)) + views.argmin(axis=1)
-    enough = words[run:] - words[:-run] >= min_words
-    starts = np.flatnonzero(enough)
+    total, head = words[run:] - words[:-run], np.diff(words)
+    starts = np.flatnonzero(total >= own_words)
     chosen = least[starts]
     cuts = np.flatnonzero(np.diff(chosen)) + 1
     for group in np.split(starts, cuts):
         if len(group):
-            yield int(grams[least[group[0]]].view(np.int64)), group, runs[group].view(np.int64)
+            fingerprint = int(grams[least[group[0]]].view(np.int64))
+            yield fingerprint, group, runs[group].view(np.int64), total[group], head[group]
 
 
-def repeated_runs(df: DataFrame, gram: int, window: int, min_words: int) -> DataFrame:
-    """``doc, from_line, to_line`` (lines with a word, from 0) of runs that occurred earlier.
+def repeated_runs(df: DataFrame, gram: int, window: int, min_words: int, own_words: int = 0) -> DataFrame:
+    """``doc, from_line, to_line`` (lines with a word, from 0) of what occurred earlier.
 
     The table needs ``_id``, ``_doc`` (a long that tells documents with the same
-    id apart) and ``_text``. Earlier is by id, then ``_doc``, then line.
+    id apart) and ``_text``. Earlier is by id, then ``_doc``, then line. Runs that
+    follow each other here and at their first occurrences are one match, and a
+    match counts from ``min_words`` words on.
     """
     id_type = dict(df.dtypes)["_id"]
+    parts = ["starts", "runs", "totals", "heads"]
 
     def rows(batches):
         for batch in batches:
             ids, docs = batch.column("_id"), batch.column("_doc").to_numpy()
-            take, prints, starts, runs = [], [], [], []
+            take, prints, values = [], [], [[] for _ in parts]
             for at, text in enumerate(as_bytes(batch.column("_text"))):
-                for fingerprint, where, hashes in line_windows(text, gram, window, min_words):
+                for fingerprint, *of_runs in line_windows(text, gram, window, own_words):
                     take.append(at)
                     prints.append(fingerprint)
-                    starts.append(where)
-                    runs.append(hashes)
+                    for kept, value in zip(values, of_runs):
+                        kept.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(prints, pa.int64()), ids.take(pa.array(take, pa.int64())),
                  pa.array(docs[take] if take else [], pa.int64()),
-                 pa.array(starts, pa.list_(pa.int64())), pa.array(runs, pa.list_(pa.int64()))],
-                ["print", "id", "doc", "starts", "runs"],
+                 *[pa.array(kept, pa.list_(pa.int64())) for kept in values]],
+                ["print", "id", "doc", *parts],
             )
 
     prints = store(
         map_batches(
             df, rows,
-            f"print long, id {id_type}, doc long, starts array<long>, runs array<long>",
+            f"print long, id {id_type}, doc long, " + ", ".join(f"{part} array<long>" for part in parts),
         ), "fingerprints",
     )
     # Positions of fingerprints found more than once ...
@@ -92,8 +98,9 @@ def repeated_runs(df: DataFrame, gram: int, window: int, min_words: int) -> Data
     # ... and around each of them the runs it belongs to: matches extend as far as runs agree.
     runs = store(
         prints.join(twice, F.col("print") == F.col("_print"))
-        .select("print", "id", "doc", F.explode(F.arrays_zip("starts", "runs")).alias("_run"))
-        .select("print", "id", "doc", F.col("_run.starts").alias("start"), F.col("_run.runs").alias("run")),
+        .select("print", "id", "doc", F.explode(F.arrays_zip(*parts)).alias("_run"))
+        .select("print", "id", "doc", F.col("_run.starts").alias("start"), F.col("_run.runs").alias("run"),
+                F.col("_run.totals").alias("total"), F.col("_run.heads").alias("head")),
         "runs",
     )
     firsts = store(
@@ -106,10 +113,26 @@ def repeated_runs(df: DataFrame, gram: int, window: int, min_words: int) -> Data
         firsts, (F.col("print") == F.col("_print")) & (F.col("run") == F.col("_run"))
     )
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("doc") == F.col("first.doc"))
-    later = found.where(~(same & (F.col("start") == F.col("first.start"))))
     # What overlaps the first occurrence belongs to it.
     begin = F.when(same, F.greatest("start", F.col("first.start") + lines)).otherwise(F.col("start"))
-    return later.select("doc", begin.alias("from_line"), (F.col("start") + lines).alias("to_line"))
+    later = (
+        found.where(~(same & (F.col("start") == F.col("first.start"))))
+        .select("doc", "start", "total", "head", begin.alias("begin"), F.col("first.doc").alias("source"),
+                (F.col("start") - F.col("first.start")).alias("shift"))
+        # One partitioning by document serves what follows.
+        .repartition("doc").dropDuplicates(["doc", "start"])
+    )
+    side = ["doc", "source", "shift"]
+    stretches = later.withColumn(
+        "stretch", F.col("start") - F.row_number().over(Window.partitionBy(*side).orderBy("start"))
+    )
+    last = F.max(F.struct("start", "total", "head"))
+    return (
+        stretches.groupBy(*side, "stretch")
+        .agg(F.min("begin").alias("from_line"), F.sum("head").alias("_heads"), last.alias("_last"))
+        .where(F.col("_heads") - F.col("_last.head") + F.col("_last.total") >= min_words)
+        .select("doc", "from_line", (F.col("_last.start") + lines).alias("to_line"))
+    )
 
 
 def dedup_lines(
@@ -123,11 +146,12 @@ def dedup_lines(
 ) -> DataFrame:
     """Delete from every text the runs of lines that occurred earlier, and add two counts.
 
-    A run of at least ``gram + window - 1`` lines with ``min_words`` words that
-    also occurs earlier (by id, then line, in the same or another text) shares a
-    fingerprint with that occurrence, whatever surrounds it. Every run around a
-    repeated fingerprint is compared with the first run like it, and the lines
-    of the later ones are deleted; neighbouring runs make longer matches. With
+    A run of at least ``gram + window - 1`` lines that also occurs earlier (by
+    id, then line, in the same or another text) shares a fingerprint with that
+    occurrence, whatever surrounds it. Every run around a repeated fingerprint
+    is compared with the first run like it; runs that follow each other in both
+    places make longer matches, and matches of ``min_words`` words or more are
+    deleted where they occur later, however short their lines. With
     ``single_words``, every line of at least so many words that occurred earlier
     is deleted too, whatever its neighbours; without, a line that is not part of
     a longer run stays, however common. All lines are judged on the input. ``n_lines``: lines of the text;
@@ -148,7 +172,7 @@ def dedup_lines(
     keyed = df.select(F.col(f"`{id_col}`").alias("_id"), key.alias("_doc"), text.alias("_text"))
     found = repeated_runs(keyed, gram, window, min_words)
     if single_words is not None:
-        found = found.unionByName(repeated_runs(keyed, 1, 1, single_words))
+        found = found.unionByName(repeated_runs(keyed, 1, 1, single_words, own_words=single_words))
     cuts = store(
         found.where("from_line < to_line").distinct().groupBy(F.col("doc").alias("_of"))
         .agg(F.collect_list(F.struct("from_line", "to_line")).alias("_cuts")), "cuts",

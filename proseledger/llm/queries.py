@@ -51,7 +51,8 @@ def run_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_lines(documents(spark, folder)).select(
+    """Repeated runs of lines of eight words together, and repeated single lines of eight words."""
+    return line_dedup.dedup_lines(documents(spark, folder), single_words=8).select(
         "doc_id", "n_lines", "n_deleted",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
@@ -152,16 +153,24 @@ WITH split AS (
     len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
   FROM bare WHERE l <> ''
 ), runs AS (
-  SELECT doc_id, i, n + lead(n) OVER w AS words, l AS one, lead(l) OVER w AS two
+  SELECT doc_id, i, n, n + lead(n) OVER w AS words, l AS one, lead(l) OVER w AS two
   FROM numbered WINDOW w AS (PARTITION BY doc_id ORDER BY i)
 ), firsts AS (
-  SELECT doc_id, i, first_value(doc_id) OVER w AS first_doc, first_value(i) OVER w AS first_i
-  FROM runs WHERE two IS NOT NULL AND words >= 8
-  WINDOW w AS (PARTITION BY one, two ORDER BY doc_id, i)
-), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(
-    CASE WHEN doc_id = first_doc THEN greatest(i, first_i + 2) ELSE i END, i + 2)) AS i
+  SELECT *, first_value(doc_id) OVER w AS first_doc, first_value(i) OVER w AS first_i
+  FROM runs WHERE two IS NOT NULL WINDOW w AS (PARTITION BY one, two ORDER BY doc_id, i)
+), stretches AS (
+  SELECT *, i - first_i AS shift,
+    i - row_number() OVER (PARTITION BY doc_id, first_doc, i - first_i ORDER BY i) AS stretch
   FROM firsts WHERE doc_id <> first_doc OR i <> first_i
+), matches AS (
+  SELECT doc_id, min(CASE WHEN doc_id = first_doc THEN greatest(i, first_i + 2) ELSE i END) AS a, max(i) + 2 AS b
+  FROM stretches GROUP BY doc_id, first_doc, shift, stretch
+  HAVING sum(n) - arg_max(n, i) + arg_max(words, i) >= 8
+), singles AS (
+  SELECT doc_id, i FROM numbered WHERE n >= 8
+  QUALIFY row_number() OVER (PARTITION BY l ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(a, b)) AS i FROM matches UNION SELECT doc_id, i FROM singles
 ), marked AS (
   SELECT b.doc_id, b.place, b.line, g.i IS NOT NULL AS deleted
   FROM bare b LEFT JOIN numbered n ON n.doc_id = b.doc_id AND n.place = b.place

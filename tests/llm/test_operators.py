@@ -250,6 +250,41 @@ def test_single_lines(spark, tmp_path):
     assert {r.doc_id: r.text for r in kept} == {i: t for i, t in expected.items() if t}
 
 
+def later_matches(texts, least):
+    """Lines that a later match of two or more lines, ``least`` words together, covers; line by line."""
+    lines = {i: [x.strip() for x in (t or "").split("\n") if x.strip()] for i, t in texts.items()}
+    first, gone = {}, set()
+    for i, own in sorted(lines.items()):
+        for at in range(len(own) - 1):
+            first.setdefault((own[at], own[at + 1]), (i, at))
+    for i, own in lines.items():
+        source = [first[own[at], own[at + 1]] for at in range(len(own) - 1)]
+        at = 0
+        while at < len(source):
+            to = at + 1
+            while to < len(source) and source[to] == (source[at][0], source[at][1] + to - at):
+                to += 1
+            begin = at if source[at][0] != i else max(at, source[at][1] + 2)
+            if source[at] != (i, at) and sum(len(x.split()) for x in own[at:to + 1]) >= least:
+                gone.update((i, x) for x in range(begin, to + 1))
+            at = to
+    return {i: "\n".join(x for at, x in enumerate(own) if (i, at) not in gone) for i, own in lines.items()}
+
+
+def test_short_lines(spark):
+    """Matches count by the words of all their lines, so menus go too; short runs alone stay."""
+    rng = np.random.default_rng(5)
+    menu = "\n".join(f"entry {i}" for i in range(20))
+    texts = {1: f"intro one\n{menu}\nend one", 2: f"other start\n{menu}\nnothing", 3: "entry 3\nentry 4\nx",
+             4: "", 5: f"{menu}\n{menu}"}
+    for i in range(6, 120):
+        texts[i] = "\n".join(rng.choice(["a", "b c", "d", "e f g", "h"], rng.integers(0, 14)))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(rows).collect()}
+    assert got == later_matches(texts, 8)
+    assert got[2] == "other start\nnothing" and got[3] == texts[3] and got[5] == ""
+
+
 def test_byte_strings(spark, docs, empty):
     rng = np.random.default_rng(2)
     parts = ["".join(rng.choice(list("ab"), rng.integers(5, 60))) for _ in range(25)] + ["é" * 30, "x" * 99]
