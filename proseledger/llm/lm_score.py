@@ -26,7 +26,7 @@ END = ""
 # Entries: the end, classes of words off the short list, then the short list.
 END_ID, CLASSES = 0, 63
 FIRST_LISTED = 1 + CLASSES
-# Words whose counts every task has; the counts of others are joined.
+# At most so many words' counts are had by every task; the counts of others are joined.
 KNOWN_WORDS = 100_000
 # Counters in tasks are written out at this size.
 MAX_COUNTER = 200_000
@@ -205,6 +205,24 @@ def _word_counts(base: DataFrame) -> DataFrame:
     )
 
 
+def _commonest(words: DataFrame) -> list:
+    """The end and the commonest words, at most ``KNOWN_WORDS``: those above a step of counts.
+
+    A histogram of the counts, eight steps to each doubling, says where to cut;
+    only what is above is collected. A step is taken whole or not at all.
+    """
+    counted = words.withColumn("all", F.col("c") + F.col("other"))
+    step = F.floor(F.log2("all") * 8).cast("int")
+    total, cut = 0, None
+    for row in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > KNOWN_WORDS:
+            break
+        cut = row.step
+    above = F.lit(False) if cut is None else step >= cut
+    return counted.where(above | (F.col("word") == END)).select("word", "c").collect()
+
+
 def _encoded(base: DataFrame, known) -> DataFrame:
     """Per text: its entries, the known part of its sums, and its words whose counts must be joined."""
     schema = (f"{ID} {dict(base.dtypes)[ID]}, _held boolean, _row long, n_tokens long, n_known long, "
@@ -331,10 +349,7 @@ def score_texts(
     train_tokens, types = words.agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)
     ).first()
-    top = (
-        words.withColumn("all", F.col("c") + F.col("other"))
-        .orderBy(F.desc("all"), "word").limit(KNOWN_WORDS).select("word", "c").collect()
-    )
+    top = _commonest(words)
     listed = sorted((r for r in top if r.word != END and r.c > 0), key=lambda r: (-r.c, r.word))
     listed = listed[:settings.entries - FIRST_LISTED]
     end_count = next((r.c for r in top if r.word == END), 0)

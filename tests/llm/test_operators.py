@@ -402,6 +402,54 @@ def test_lm(docs, empty):
     assert lm_score.score_texts(empty).count() == 0
 
 
+def test_lm_score(docs, monkeypatch):
+    """Scores against a plain sum over tokens, whether counts are known to the tasks or joined."""
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    tokens = lambda t: WORD.findall(lower(t)) + [""]
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
+    counts = Counter(w for i, t in rows if not held(i) for w in tokens(t))
+    settings = lm_score.Settings(entries=70, dimensions=4)
+    rng = np.random.default_rng(8)
+    model = lm_score.Model(*[rng.normal(0, 1, s) for s in [(70, 4), (70, 4), (4, 4), (4, 4), (70,)]])
+    monkeypatch.setattr(lm_score, "_trained", lambda *_: model)
+    listed = sorted((w for w in counts if w), key=lambda w: (-counts[w], w))[:6]
+    entry = lambda w: 0 if w == "" else 64 + listed.index(w) if w in listed else lm_score.class_of(w.encode())
+    classes = {}
+    for w, c in counts.items():
+        if 0 < entry(w) < 64:
+            classes.setdefault(entry(w), []).append(c)
+    deal = {k: sum(v) + len(v) + 1 for k, v in classes.items()}
+
+    def expected(text):
+        total, far, near = 0.0, 0, 0
+        for w in tokens(text):
+            e = entry(w)
+            scores = (model.context[near] @ model.near + model.context[far] @ model.far) @ model.word.T + model.bias
+            total += (scores[e] - np.log(np.exp(scores).sum())) / math.log(10)
+            if 0 < e < 64:
+                total += math.log10((counts[w] + 1) / deal.get(e, 1))
+            far, near = near, e
+        return total
+
+    plain = Counter((i, round(expected(t), 4)) for i, t in rows)
+    for all_known in (True, False):
+        if not all_known:  # The others' counts are joined.
+            monkeypatch.setattr(lm_score, "_commonest", lambda words: [
+                r for r in words.select("word", "c").collect() if r.word in (listed + [""])
+            ])
+        got = lm_score.score_texts(docs, settings=settings).collect()
+        assert Counter((r._id, round(r.score, 4)) for r in got) == plain
+
+
+def test_lm_commonest(spark, monkeypatch):
+    rows = [("", 1, 0), ("a", 90, 10), ("b", 50, 0), ("c", 49, 1), ("d", 3, 0), ("e", 3, 0), ("f", 0, 3)]
+    words = spark.createDataFrame(rows, "word string, c long, other long")
+    monkeypatch.setattr(lm_score, "KNOWN_WORDS", 4)
+    assert sorted(r.word for r in lm_score._commonest(words)) == ["", "a", "b", "c"]
+    monkeypatch.setattr(lm_score, "KNOWN_WORDS", 100)
+    assert len(lm_score._commonest(words)) == len(rows)
+
+
 def test_lm_probabilities_sum_to_one():
     settings = lm_score.Settings(entries=80, dimensions=4)
     model = lm_score.first_model(np.full(80, 1 / 80), settings)
