@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import product
 from typing import NamedTuple
 
 import numpy as np
@@ -19,8 +20,10 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 # Items per column of the table of bounds, which many passages are held against at once.
 BOUND_ITEMS = 4
-# Items of one index. More items make more indexes, and the texts are read once for each.
+# Items of one index; more items make more indexes.
 ITEMS_PER_INDEX = 1024
+# Indexes are broadcast together up to about so many bytes, and the texts are read once for all of these.
+PASS_BYTES = 128 << 20
 # Passages overlap by half; no item is longer than half a passage.
 SHORTEST_STEP = 64
 
@@ -231,7 +234,6 @@ def leaks_in(index: Index, texts: list[bytes], threshold: float, min_question: f
 
 def _indexes(items: DataFrame):
     """The items in indexes of bounded size, by length class; statistics are of all items."""
-    spark = items.sparkSession
 
     def rows(batches):
         for batch in batches:
@@ -267,8 +269,24 @@ def _indexes(items: DataFrame):
             terms = some.select(F.explode("terms").alias("term")).distinct()
             known = {bytes(t): c for t, c in frequencies.join(terms, "term").collect()}
             listed = [(r.item, r.text) for r in some.select("item", "text").orderBy("item", "text").collect()]
-            index = build_index(listed, known, total, words / total, step)
-            yield spark.sparkContext.broadcast(index)
+            if listed:
+                yield build_index(listed, known, total, words / total, step)
+
+
+def _passes(indexes):
+    """Indexes that share a pass over the texts: as many as ``PASS_BYTES`` allow, or a single larger one."""
+    together, size = [], 0
+    for index in indexes:
+        postings = sum(len(items) for items, _, _, _ in index.postings)
+        # A posting is two numbers in Python lists; items keep their words.
+        own = index.bounds.nbytes + 200 * postings
+        if together and size + own > PASS_BYTES:
+            yield together
+            together, size = [], 0
+        together.append(index)
+        size += own
+    if together:
+        yield together
 
 
 def find_leaks(
@@ -295,8 +313,9 @@ def find_leaks(
     Returns ``_id, _key`` (hash of the text), ``item, score, question_overlap,
     answer_overlap`` of the best passage. NULL and empty texts and items without
     a word find nothing; a NULL id is kept as it is; repeated rows are reported
-    each. Items of at most ``ITEMS_PER_INDEX`` rows make one index, which is all
-    that is ever broadcast; more items make more passes over the texts.
+    each. An index holds at most ``ITEMS_PER_INDEX`` items; indexes of about
+    ``PASS_BYTES`` together are broadcast at a time, and only items beyond that
+    make another pass over the texts.
     """
     base = df.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")
@@ -309,8 +328,9 @@ def find_leaks(
               "question_overlap double, answer_overlap double")
     item_type = items.schema["item"].dataType
     found = None
-    for index in _indexes(items):
-        part = map_batches(base, _leak_rows(index, threshold, min_question, min_answer, item_type), schema)
+    for indexes in _passes(_indexes(items)):
+        shared = df.sparkSession.sparkContext.broadcast(indexes)
+        part = map_batches(base, _leak_rows(shared, threshold, min_question, min_answer, item_type), schema)
         found = part if found is None else found.unionByName(part)
     return df.sparkSession.createDataFrame([], schema) if found is None else found
 
@@ -321,10 +341,9 @@ def _leak_rows(shared, threshold, min_question, min_answer, item_type):
     kind = to_arrow_type(item_type)
 
     def rows(batches):
-        index = shared.value
         for batch in batches:
             texts = as_bytes(batch.column("_text"))
-            for begin, end in slices(texts):
+            for (begin, end), index in product(slices(texts), shared.value):
                 found = leaks_in(index, texts[begin:end], threshold, min_question, min_answer)
                 if not found:
                     continue

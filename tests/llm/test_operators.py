@@ -388,6 +388,27 @@ def test_quality_of_short_texts(spark):
     assert not got[103].kept and not got[104].kept and not got[105].kept
 
 
+def test_leak_passes(spark, monkeypatch):
+    """Many indexes in one pass over the texts, or in a pass each, find what is there."""
+    rng = np.random.default_rng(9)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n))
+    items = [(i, f"{words(n)}? {words(n)}.") for i, n in enumerate([5, 6, 9, 40, 40, 70, 8])]
+    rows = [(i, words(50)) for i in range(20)]
+    rows += [(100 + i, f"{words(30)} {text} {words(30)}") for i, text in items]
+    rows += [(200, " ".join(text for _, text in items)), (201, None), (202, "")]
+    expected = {(100 + i, i) for i, _ in items} | {(200, i) for i, _ in items}
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_INDEX", 2)
+    for limit, passes in ((1 << 30, 1), (1, None)):
+        monkeypatch.setattr(decontaminate, "PASS_BYTES", limit)
+        leaks = decontaminate.find_leaks(texts, benchmark)
+        got = [(r._id, r.item) for r in leaks.collect()]
+        assert len(got) == len(expected) and set(got) == expected
+        scans = leaks._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+        assert scans == passes if passes else scans > 2
+
+
 def test_lm(docs, empty):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     tokens = lambda t: WORD.findall(lower(t)) + [""]
