@@ -4,9 +4,11 @@ A window gives every row of a group to one task. That is right for most groups
 and hopeless for one that holds a third of the table. ``by_group_size`` counts
 the rows per group first. Small groups take the ordinary window. The rows of
 large groups are range-partitioned by (group, order) into chunks of about
-``max_group_rows`` rows, however many that makes. Each chunk is worked on by
-itself, and what a chunk must know of those before it comes from a table with
-one row per (group, chunk).
+``max_group_rows`` rows. Each chunk is a task and worked on by itself, and what a
+chunk must know of those before it comes from a table with one row per (group,
+chunk). A shuffle from chunk to chunk has an index entry for each pair of them,
+and each task reports to the driver, so a low limit makes no more than
+``MAX_CHUNKS`` chunks before these have ``MAX_GROUP_ROWS`` rows each.
 
 As chunks are contiguous in (group, order), there are at most large groups +
 chunks pairs of group and chunk. That table, and the one of the large groups,
@@ -29,6 +31,8 @@ from ..sources.shared import shared_folder, store
 
 # A group up to this size is left to one task: about 100 MB of narrow rows.
 MAX_GROUP_ROWS = 1_000_000
+# More chunks than this only where each would have more than MAX_GROUP_ROWS rows.
+MAX_CHUNKS = 500
 # A table of groups is broadcast up to this many rows and bytes.
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -94,6 +98,12 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("_rows"))
 
 
+def chunks_of(rows: int, max_group_rows: int) -> int:
+    """Into how many chunks the rows of large groups are cut."""
+    most = max(MAX_CHUNKS, ceil(rows / MAX_GROUP_ROWS))
+    return max(2, min(ceil(rows / max_group_rows), most))
+
+
 def large_groups(
     df: DataFrame, keys: Sequence[str], max_group_rows: int, sizes: DataFrame | None = None
 ) -> Large | None:
@@ -115,8 +125,7 @@ def large_groups(
     ).first()
     if number == 0:
         return None
-    chunks = max(2, ceil(rows / max_group_rows))
-    return Large(groups, number, rows, chunks, widest, others == 0)
+    return Large(groups, number, rows, chunks_of(rows, max_group_rows), widest, others == 0)
 
 
 def split(df: DataFrame, keys: Sequence[str], found: Large) -> tuple[DataFrame, DataFrame]:

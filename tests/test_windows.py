@@ -172,6 +172,33 @@ def test_no_chunk_task_gets_a_whole_large_group(spark):
     assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) <= 1_500
 
 
+def test_chunks_do_not_grow_with_the_rows_under_a_low_limit(spark):
+    """Shuffles have an index entry per pair of chunks and tasks report to the driver: one chunk per few rows is too many."""
+    df = spark.range(0, 20_000).select((F.col("id") % 40).alias("k"), "id")
+    assert skew.large_groups(df, ["k"], 12).chunks == skew.large_groups(df, ["k"], 40).chunks <= 500
+    assert skew.large_groups(df, ["k"], 100).chunks == 200
+    # Chunks are never larger than a task may be given.
+    assert skew.chunks_of(10 ** 10, 12) == skew.chunks_of(10 ** 10, skew.MAX_GROUP_ROWS) == 10_000
+
+
+def test_fewer_chunks_than_the_limit_asks_for(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_CHUNKS", 3)
+    rows = skewed_rows(11)
+    df = spark.createDataFrame(rows, "id long, k string, day string, amount double").repartition(7)
+    df = windows.running_sum(df, ["k"], ["day", "id"], "amount", max_group_rows=5)
+    df = windows.moving_avg_and_neighbours(df, ["k"], ["day", "id"], "amount", max_group_rows=5)
+    df = windows.ranks(df, ["k"], "amount", ["id"], max_group_rows=5)
+    expected = by_hand(rows, lambda r: r[1], 3)
+    got = df.collect()
+    assert len(got) == len(rows)
+    for row in got:
+        values = (
+            row.cumulative_sum, row.moving_avg_3, row.prev_amount, row.next_amount,
+            row.rank_in_group, row.dense_rank_in_group,
+        )
+        assert values == pytest.approx(expected[row.id]), row
+
+
 @pytest.mark.parametrize("limit", [50, 100])
 def test_a_chain_does_not_evaluate_its_source_again(spark, limit):
     """The scans of the plan do not grow with the number of operators before."""
