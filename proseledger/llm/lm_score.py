@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_LOWER, ID, TEXT, as_bytes, map_batches, store
+from .common import ASCII_LOWER, ID, TEXT, as_bytes, map_batches, slices, store
 
 # The end of a text, as a token: no word is empty.
 END = ""
@@ -232,38 +233,39 @@ def _encoded(base: DataFrame, known) -> DataFrame:
         from pyspark import TaskContext
 
         table = known.value
+        place = dict(zip(table, range(len(table)))).get
+        # By place; the last entry stands for words that are not in the table.
+        code = np.array([c for c, _, _ in table.values()] + [0], np.uint16)
+        log_count = np.array([x for _, x, _ in table.values()] + [0.0])
+        is_known = np.array([k for _, _, k in table.values()] + [0], np.int64)
+        shared_log = np.where((code > END_ID) & (code < FIRST_LISTED), log_count, 0.0)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            columns = {k: [] for k in ("row", "n", "known", "base", "shared", "codes", "words", "times")}
-            for text in as_bytes(batch.column(TEXT)):
-                tokens = tokens_of(text)
-                tokens.append(b"")
-                counts = Counter(tokens)
-                rare, times, n_known, total, shared = [], [], 0, 0.0, 0.0
-                for word, n in counts.items():
-                    entry = table.get(word)
-                    if entry is None:
-                        rare.append(word.decode())
-                        times.append(n)
-                    else:
-                        code, log_count, is_known = entry
-                        total += n * log_count
-                        n_known += n * is_known
-                        if END_ID < code < FIRST_LISTED:
-                            shared += n * log_count
-                codes = {w: table[w][0] if w in table else class_of(w) for w in counts}
-                codes = np.fromiter(map(codes.__getitem__, tokens), np.uint16, len(tokens))
-                for name, value in zip(columns, (row, len(tokens), n_known, total, shared,
-                                                 codes.tobytes(), rare, times)):
-                    columns[name].append(value)
-                row += 1
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(),
-                     pa.list_(pa.string()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(ID), batch.column("_held"),
-                 *[pa.array(v, t) for v, t in zip(columns.values(), types)]],
-                [ID, "_held", "_row", "n_tokens", "n_known", "base", "shared", "codes", "words", "times"],
-            )
+            texts = as_bytes(batch.column(TEXT))
+            for begin, end in slices(texts):
+                tokens, ends = [], []
+                for text in texts[begin:end]:
+                    tokens += tokens_of(text)
+                    tokens.append(b"")
+                    ends.append(len(tokens))
+                at = np.fromiter(map(place, tokens, repeat(len(table))), np.int64, len(tokens))
+                codes = code[at]
+                # Words off the table, by text.
+                off = np.flatnonzero(at == len(table))
+                codes[off] = [class_of(tokens[i]) for i in off.tolist()]
+                cuts = np.searchsorted(off, ends).tolist()
+                rare = [Counter(tokens[i] for i in off[a:b].tolist()) for a, b in zip([0] + cuts, cuts)]
+                starts = [0] + ends[:-1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(ID).slice(begin, end - begin), batch.column("_held").slice(begin, end - begin),
+                     pa.array(np.arange(row, row + end - begin)), pa.array(np.diff([0] + ends)),
+                     *[pa.array(np.add.reduceat(values[at], starts)) for values in (is_known, log_count, shared_log)],
+                     pa.array([codes[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                     pa.array([[w.decode() for w in counts] for counts in rare], pa.list_(pa.string())),
+                     pa.array([list(counts.values()) for counts in rare], pa.list_(pa.int64()))],
+                    [ID, "_held", "_row", "n_tokens", "n_known", "base", "shared", "codes", "words", "times"],
+                )
+                row += end - begin
 
     return store(map_batches(base, rows, schema), "encoded")
 
