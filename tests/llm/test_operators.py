@@ -13,7 +13,7 @@ import pytest
 
 import corpus_pipeline
 from proseledger.llm import (
-    decontaminate, licenses, line_dedup, lm_score, ngram_join, packing, pii, quality, sharding,
+    decontaminate, licenses, line_dedup, lm_score, ngram_join, packing, pii, quality, queries, sharding,
     suffix_dedup,
 )
 
@@ -169,6 +169,22 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_licenses(empty.withColumnRenamed("source", "path")).count() == 0
 
 
+def test_license_query_inherits(spark, tmp_path):
+    """Documents of a folder inherit from the one that has a licence; one that only speaks of licences gives none."""
+    rows = [(1, "s", "en", "Some prose.\nReleased under the MIT License.\nMore."), (2, "s", "en", "Prose."),
+            (3, "s", "en", None), (4, "s", "de", "Prosa."), (5, "t", "en", "He lost his driving license last week in town"),
+            (6, "t", "en", "Prose."), (0, "s", "en", "I have no license for this boat, nor will I ever get one"),
+            (7, None, None, "x"), (8, "s", "en", "Licensed under CC BY-NC 4.0.")]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.path, r.licence, r.origin) for r in queries.QUERIES["op3_license_scan"].run(spark, str(tmp_path)).collect()}
+    assert got == {
+        0: ("s/en/LICENSE-0", "MIT", "inherited"), 1: ("s/en/LICENSE-1", "MIT", "own"), 2: ("s/en/2", "MIT", "inherited"),
+        3: ("s/en/3", "MIT", "inherited"), 4: ("s/de/4", None, None), 5: ("t/en/LICENSE-5", None, None),
+        6: ("t/en/6", None, None), 7: ("7", None, None), 8: ("s/en/LICENSE-8", "CC-BY-NC-4.0", "own"),
+    }
+
+
 def test_wrapped_licenses(spark):
     notices = {name: max((b for n, b in licenses.TEMPLATES if n == name), key=len)
                for name in ("MIT", "BSD-3-Clause", "GPL-3.0")}
