@@ -31,6 +31,8 @@ FIRST_LISTED = 1 + CLASSES
 KNOWN_WORDS = 100_000
 # Counters in tasks are written out at this size.
 MAX_COUNTER = 200_000
+# So many bytes of text are cut into tokens at a time, or one longer text.
+ENCODED_BYTES = 1 << 20
 
 
 class Settings(NamedTuple):
@@ -181,8 +183,7 @@ def _word_counts(base: DataFrame) -> DataFrame:
 
         def out():
             words = list(counters[0].keys() | counters[1].keys())
-            trained = [counters[0][w] for w in words]
-            other = [counters[1][w] for w in words]
+            trained, other = (list(map(counter.get, words, repeat(0))) for counter in counters)
             for counter in counters:
                 counter.clear()
             return pa.RecordBatch.from_arrays(
@@ -242,7 +243,7 @@ def _encoded(base: DataFrame, known) -> DataFrame:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = as_bytes(batch.column(TEXT))
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, ENCODED_BYTES):
                 tokens, ends = [], []
                 for text in texts[begin:end]:
                     tokens += tokens_of(text)
@@ -252,9 +253,11 @@ def _encoded(base: DataFrame, known) -> DataFrame:
                 codes = code[at]
                 # Words off the table, by text.
                 off = np.flatnonzero(at == len(table))
-                codes[off] = [class_of(tokens[i]) for i in off.tolist()]
+                others = [tokens[i] for i in off.tolist()]
+                classes = {word: class_of(word) for word in set(others)}
+                codes[off] = [classes[word] for word in others]
                 cuts = np.searchsorted(off, ends).tolist()
-                rare = [Counter(tokens[i] for i in off[a:b].tolist()) for a, b in zip([0] + cuts, cuts)]
+                rare = [Counter(others[a:b]) for a, b in zip([0] + cuts, cuts)]
                 starts = [0] + ends[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(ID).slice(begin, end - begin), batch.column("_held").slice(begin, end - begin),

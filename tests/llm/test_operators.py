@@ -439,6 +439,25 @@ def test_lm(docs, empty):
     assert lm_score.score_texts(empty).count() == 0
 
 
+def test_lm_encoding_of_texts_by_slices(spark):
+    """Texts larger than a slice, empty ones and words off the table, against a plain count of each."""
+    table = {b"": (0, 0.5, 1), b"a": (64, 1.25, 1), b"b": (3, 2.0, 1), b"d": (5, 0.0, 0)}
+    texts = ["a b c A d", "", "x y x a", None, "b " * 700_000 + "Z z q", "é a", "b c " * 200_000, "w"]
+    rows = [(i, t, i % 2 == 1) for i, t in enumerate(texts)]
+    base = spark.createDataFrame(rows, "_id long, _text string, _held boolean").coalesce(1)
+    got = lm_score._encoded(base, spark.sparkContext.broadcast(table)).collect()
+    assert sorted(r._id for r in got) == list(range(len(texts))) and len({r._row for r in got}) == len(texts)
+    for r in got:
+        tokens = lm_score.tokens_of((texts[r._id] or "").encode()) + [b""]
+        off = Counter(t.decode() for t in tokens if t not in table)
+        assert (r.n_tokens, r._held, dict(zip(r.words, r.times))) == (len(tokens), r._id % 2 == 1, off)
+        assert r.n_known == sum(table[t][2] for t in tokens if t in table)
+        assert r.base == pytest.approx(sum(table[t][1] for t in tokens if t in table))
+        assert r.shared == pytest.approx(2.0 * tokens.count(b"b"))
+        codes = np.frombuffer(r.codes, np.uint16).tolist()
+        assert codes == [table[t][0] if t in table else lm_score.class_of(t) for t in tokens]
+
+
 def test_lm_score(docs, monkeypatch):
     """Scores against a plain sum over tokens, whether counts are known to the tasks or joined."""
     rows = [(r.doc_id, r.text) for r in docs.collect()]
