@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import attach
 from .common import (
-    ID, TEXT, as_bytes, map_batches, mix, narrow, salted, slices, small_side, store, text_key,
-    word_bounds, word_hashes,
+    ID, TEXT, as_bytes, map_batches, mix, narrow, salted, shuffles_dropped, slices, small_side, store, stored,
+    text_key, word_bounds, word_hashes,
 )
 from .graph import components
 from .places import BLOCK_ROWS, by_place, in_places, larger_components, links_of
@@ -30,9 +30,6 @@ SMALL_BUCKET = 8
 # Bytes of the shortest signature.
 LEAST_BYTES = 16
 PREFIXES = [f"prefix{order}" for order in range(1, ORDERS)]
-# One of the prefix under each order, and one of the whole set.
-KINDS = ORDERS + 1
-SIGNATURES = [name for kind in range(KINDS) for name in (f"bits{kind}", f"lost{kind}")]
 _COEFFICIENTS = salted(64, 2)
 _ORDER_SALTS = salted(ORDERS, 3)
 
@@ -323,7 +320,7 @@ def _whole_sets(df: DataFrame, wanted: DataFrame, sets: DataFrame, size: int) ->
 
     made = map_batches(texts, rows, "fp long, n long, tokens array<long>")
     # An id may be repeated with the same text.
-    return store(made.dropDuplicates(["fp"]), "whole_sets")
+    return made.dropDuplicates(["fp"])
 
 
 def _least_shared(n, m, percent: int):
@@ -342,37 +339,45 @@ class _Join(NamedTuple):
 
     base: DataFrame
     sets: DataFrame
+    bits: DataFrame
     levels: object
     size: int
     percent: int
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures allow enough shared tokens; a signature is far shorter than a prefix."""
+        both = _both_sides(pairs, self.bits, ["n", "bits", "lost"])
+        return store(map_batches(both, _likely_pairs(self.percent), "a long, b long"), "likely")
+
     def prefixes_of(self, pairs: DataFrame) -> DataFrame:
         ends = small_side(store(_ends(pairs), "ends"))
-        return store(
-            _further_prefixes(self.base, ends, self.levels, self.size, self.percent), "prefixes"
-        )
+        return _further_prefixes(self.base, ends, self.levels, self.size, self.percent)
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         return _whole_sets(self.base, _ends(pairs), self.sets, self.size)
 
-    def verified(self, pairs: DataFrame, short: DataFrame, whole: DataFrame | None = None) -> DataFrame:
-        """Pairs that share prefix tokens under every order, and then are similar enough."""
-        both = _both_sides(pairs, short, ["n", "lost", *PREFIXES])
-        least = _least_shared(F.col("n_a"), F.col("n_b"), self.percent)
-        least = F.greatest(F.lit(1), least - F.col("lost_a") - F.col("lost_b"))
-        for prefix in PREFIXES:
-            both = both.where(F.size(F.array_intersect(f"{prefix}_a", f"{prefix}_b")) >= least)
-        agree = store(both.select("a", "b"), "filtered")
-        whole = self.sets_of(agree) if whole is None else whole
-        both = _both_sides(agree, whole, ["n", "tokens"])
-        common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        union = F.col("n_a") + F.col("n_b") - F.col("_common")
-        return store(
-            both.withColumn("_common", common)
-            .where(100 * F.col("_common") >= self.percent * union)
-            .select("a", "b"),
-            "links",
-        )
+    def agreeing(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that share prefix tokens under every order."""
+        with stored(self.prefixes_of(pairs), "prefixes") as short:
+            both = _both_sides(pairs, short, ["n", "lost", *PREFIXES])
+            least = _least_shared(F.col("n_a"), F.col("n_b"), self.percent)
+            least = F.greatest(F.lit(1), least - F.col("lost_a") - F.col("lost_b"))
+            for prefix in PREFIXES:
+                both = both.where(F.size(F.array_intersect(f"{prefix}_a", f"{prefix}_b")) >= least)
+            return store(both.select("a", "b"), "filtered")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that are similar enough by their whole sets."""
+        with stored(self.sets_of(pairs), "whole_sets") as whole:
+            both = _both_sides(pairs, whole, ["n", "tokens"])
+            common = F.size(F.array_intersect("tokens_a", "tokens_b"))
+            union = F.col("n_a") + F.col("n_b") - F.col("_common")
+            return store(
+                both.withColumn("_common", common)
+                .where(100 * F.col("_common") >= self.percent * union)
+                .select("a", "b"),
+                "links",
+            )
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -423,7 +428,7 @@ def similar_sets(
     members = found.where("kind = 1").select(
         F.col("a").alias("token"), F.col("b").alias("fp"), "n"
     )
-    with_hubs, tops = _with_hubs(members, percent)
+    with_hubs, tops, in_buckets = _with_hubs(members, percent)
     neighbours = store(
         ordered(found.where("kind <> 1"), "kind").unionByName(
             ordered(with_hubs.withColumn("kind", F.lit(0).cast("byte")), "kind")
@@ -431,16 +436,18 @@ def similar_sets(
         .agg(F.min("kind").alias("kind"), F.count("*").alias("shared"), least.alias("least"))
         .where("kind = 0 or shared >= least").select("a", "b"), "neighbours",
     )
-    join = _Join(base, sets, levels, size, percent)
-    links = join.verified(neighbours, join.prefixes_of(neighbours))
+    wanted = store(_ends(neighbours).unionByName(in_buckets).distinct(), "ends")
+    bits = _signatures(base, small_side(wanted), size)
+    join = _Join(base, sets, bits, levels, size, percent)
+    links = join.verified(join.agreeing(join.likely(neighbours)))
 
     # Then what the links so far don't connect, in the tasks.
     return sets, links.unionByName(_links_across(members, tops, links, join))
 
 
-def _with_hubs(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _with_hubs(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of each member with the hub of its size in every bucket, and of these with the bucket's;
-    and the hub ``top`` and the rows of every bucket.
+    the hub ``top`` and the rows of every bucket; and ``fp`` of every member, once.
 
     The hub is the set whose buckets hold most members together. Of near copies
     it is one without changes of its own, which is nearest to the others.
@@ -473,7 +480,8 @@ def _with_hubs(members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         "a", "b", F.least("n", "m").alias("n"), F.greatest("n", "m").alias("m")
     )
     pairs = pairs.where(f"100 * n >= {percent} * m").distinct()
-    return pairs, tops.select(F.col("_of").alias("token"), F.col("top.fp").alias("top"), "_rows")
+    tops = tops.select(F.col("_of").alias("token"), F.col("top.fp").alias("top"), "_rows")
+    return pairs, tops, reach.select(F.col("_fp").alias("fp"))
 
 
 def signature(tokens: np.ndarray, size: int) -> bytes:
@@ -488,13 +496,18 @@ def signature_bytes(tokens: int) -> int:
     return max(LEAST_BYTES, 1 << max(0, (tokens - 1).bit_length() - 2))
 
 
-def _signatures(df: DataFrame, wanted: DataFrame, levels, size: int, percent: int) -> DataFrame:
-    """fp, n and the signatures of the prefix under every order and of the whole set, each with
-    how many tokens fell on a bit that was set."""
+def _signed(sets: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
+    """The signature of each set of tokens, and how many tokens fell on a bit that was set."""
+    bits = [signature(tokens, signature_bytes(len(tokens))) for tokens in sets]
+    set_ = [int(np.bitwise_count(np.frombuffer(b, np.uint8)).sum(dtype=np.int64)) for b in bits]
+    return bits, np.array([len(tokens) for tokens in sets], np.int64) - np.array(set_, np.int64)
+
+
+def _signatures(df: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """fp, n and the signature of the whole set, with how many tokens fell on a bit that was set."""
 
     def rows(batches):
         seen: set[int] = set()
-        table = levels.value
         for batch in batches:
             for _, _, texts in _texts(batch):
                 sets = shingle_sets(texts, size)
@@ -506,19 +519,14 @@ def _signatures(df: DataFrame, wanted: DataFrame, levels, size: int, percent: in
                         seen.add(fp)
                 if len(seen) >= 200_000:
                     seen.clear()
-                columns = []
-                for kind in range(KINDS):
-                    every = prefixes(sets, table, kind, percent) if kind < ORDERS else sets.split(sets.tokens)
-                    bits = [signature(every[at], signature_bytes(len(every[at]))) for at in fresh]
-                    set_ = [int(np.bitwise_count(np.frombuffer(b, np.uint8)).sum(dtype=np.int64)) for b in bits]
-                    lost = np.array([len(every[at]) for at in fresh], np.int64) - np.array(set_, np.int64)
-                    columns += [pa.array(bits, pa.binary()), pa.array(lost)]
+                every = sets.split(sets.tokens)
+                bits, lost = _signed([every[at] for at in fresh])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(fps[fresh]), pa.array(ns[fresh]), *columns], ["fp", "n", *SIGNATURES]
+                    [pa.array(fps[fresh]), pa.array(ns[fresh]), pa.array(bits, pa.binary()), pa.array(lost)],
+                    ["fp", "n", "bits", "lost"],
                 )
 
-    kinds = ", ".join(f"{c} {'long' if c.startswith('lost') else 'binary'}" for c in SIGNATURES)
-    made = map_batches(df, rows, f"fp long, n long, {kinds}")
+    made = map_batches(df, rows, "fp long, n long, bits binary, lost long")
     return store(made.join(wanted, "fp", "left_semi").dropDuplicates(["fp"]), "signatures")
 
 
@@ -540,11 +548,15 @@ class _Bits:
             if w > LEAST_BYTES:
                 self.half[w] = self.whole[w][:, :w // 16] | self.whole[w][:, w // 16:]
 
+    def _known(self, w: int):
+        """Widths that can be held against a width, and where each side's words are."""
+        return (w, self.whole, self.whole), (2 * w, self.half, self.whole), (w // 2, self.whole, self.half)
+
     def most_shared(self, at: int, rows: np.ndarray) -> np.ndarray:
         """No more tokens than this does a row share with each of others."""
         # Where widths differ more, nothing is known.
         w, out = int(self.width[at]), np.full(len(rows), np.iinfo(np.int64).max)
-        for v, theirs, mine in ((w, self.whole, self.whole), (2 * w, self.half, self.whole), (w // 2, self.whole, self.half)):
+        for v, theirs, mine in self._known(w):
             here = np.flatnonzero(self.width[rows] == v)
             if not len(here):
                 continue
@@ -554,23 +566,60 @@ class _Bits:
             out[here] = common + (np.minimum(own, other) if v == w else own if v > w else other)
         return out
 
+    def most_shared_by_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The same for each pair of rows."""
+        out = np.full(len(left), np.iinfo(np.int64).max)
+        for w in self.whole:
+            for v, theirs, mine in self._known(w):
+                here = np.flatnonzero((self.width[left] == w) & (self.width[right] == v))
+                if not len(here):
+                    continue
+                a, b = left[here], right[here]
+                common = np.bitwise_count(theirs[v][self.place[b]] & mine[w][self.place[a]]).sum(1, dtype=np.int64)
+                own, other = self.lost[a], self.lost[b]
+                out[here] = common + (np.minimum(own, other) if v == w else own if v > w else other)
+        return out
+
+
+def _least_common(n, m, percent: int):
+    """Tokens that two similar enough sets of these sizes share at least."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def _likely_pairs(percent: int):
+    """Pairs whose whole sets may share enough tokens, by their signatures."""
 
-def _agreeing(table: pa.Table, percent: int):
+    def rows(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+            n, lost = (np.concatenate([column(f"{c}_a"), column(f"{c}_b")]) for c in ("n", "lost"))
+            bits = _Bits(batch.column("bits_a").to_pylist() + batch.column("bits_b").to_pylist(), lost)
+            left = np.arange(batch.num_rows)
+            right = left + batch.num_rows
+            enough = bits.most_shared_by_pairs(left, right) >= np.maximum(_least_common(n[left], n[right], percent), 1)
+            yield batch.select(["a", "b"]).filter(pa.array(enough))
+
+    return rows
+
+
+def _agreeing(table: pa.Table, percent: int, prefix_bits: list[_Bits] = ()):
     """Pairs (a row of a place, several others) of different components that may share enough tokens.
 
-    Enough of the prefix under each order, then enough of the whole set, by their signatures.
+    Enough of the whole set, then enough of the prefix under each order that is given, by their signatures.
     """
     column = lambda name: table.column(name).to_numpy()
     n = column("n")
-    bits = [_Bits(table.column(f"bits{k}").to_pylist(), column(f"lost{k}")) for k in range(KINDS)]
+    whole = _Bits(table.column("bits").to_pylist(), column("lost"))
     for at, rows in larger_components(column("side"), n, column("comp"), percent):
-        for k in range(KINDS):
-            common = -(-percent * (n[rows] + n[at]) // (100 + percent))
-            if k < ORDERS:
-                common -= -(-percent * np.maximum(n[rows], n[at]) // 100) - 1
-            rows = rows[bits[k].most_shared(at, rows) >= np.maximum(common, 1)]
+        rows = rows[whole.most_shared(at, rows) >= np.maximum(_least_common(n[rows], n[at], percent), 1)]
+        for bits in prefix_bits:
             if not len(rows):
                 break
+            behind = -(-percent * np.maximum(n[rows], n[at]) // 100) - 1
+            common = _least_common(n[rows], n[at], percent) - behind
+            rows = rows[bits.most_shared(at, rows) >= np.maximum(common, 1)]
         if len(rows):
             yield at, rows
 
@@ -590,11 +639,14 @@ def _with_candidates(percent: int):
     return by_place(of_place)
 
 
-def _confirmed_links(percent: int):
+def _confirmed_links(levels, percent: int):
     """Of each place, links by whole sets that join its components."""
 
     def of_place(table: pa.Table):
-        yield from links_of(table, _agreeing(table, percent), percent)
+        tokens = [t.values.to_numpy().view(np.uint64) for t in table.column("tokens")]
+        sets = Sets(np.concatenate(tokens), np.append(0, np.cumsum([len(t) for t in tokens])))
+        prefix_bits = [_Bits(*_signed(prefixes(sets, levels.value, order, percent))) for order in range(ORDERS)]
+        yield from links_of(table, _agreeing(table, percent, prefix_bits), percent)
 
     return by_place(of_place)
 
@@ -603,8 +655,8 @@ def _links_across(members: DataFrame, tops: DataFrame, links: DataFrame, join: _
     """Links between sets that share a bucket and that the links so far don't connect.
 
     Buckets with the same hub are one: sets that share a bucket share its hub, and a near copy's many
-    buckets have few. Signatures of the prefixes in all orders find the sets that may have a
-    link, and these are compared as a whole.
+    buckets have few. Signatures of whole sets find those that may have a link. Where signatures of
+    their prefixes in all orders allow it too, these are compared as a whole.
     """
     known = store(components(links), "components").select(
         F.col("node").alias("_node"), F.col("component").alias("_component")
@@ -613,8 +665,6 @@ def _links_across(members: DataFrame, tops: DataFrame, links: DataFrame, join: _
     met = met.join(known, F.col("fp") == F.col("_node"), "left")
     met = store(met.select("top", "fp", "n", F.coalesce("_component", "fp").alias("comp")), "members")
     placed = store(in_places(met, "top", BLOCK_ROWS).drop("top"), "placed")
-    wanted = small_side(store(placed.select("fp").distinct(), "ends"))
-    bits = _signatures(join.base, wanted, join.levels, join.size, join.percent)
 
     def placed_with(rows: DataFrame, table: DataFrame) -> DataFrame:
         joined = rows.join(table.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp")).drop("_fp")
@@ -622,13 +672,15 @@ def _links_across(members: DataFrame, tops: DataFrame, links: DataFrame, join: _
 
     near = store(
         map_batches(
-            placed_with(placed, bits), _with_candidates(join.percent), "place long, side int, fp long, comp long"
+            placed_with(placed, join.bits), _with_candidates(join.percent), "place long, side int, fp long, comp long"
         ), "crossing",
     )
-    whole = _whole_sets(join.base, near.select("fp").distinct(), join.sets, join.size)
-    both = bits.join(whole.select(F.col("fp").alias("_of"), "tokens"), F.col("fp") == F.col("_of")).drop("_of")
-    found = map_batches(placed_with(near, both), _confirmed_links(join.percent), "a long, b long")
-    return store(found.distinct(), "crossing_links")
+    with stored(_whole_sets(join.base, near.select("fp").distinct(), join.sets, join.size), "whole_sets") as whole:
+        near_bits = join.bits.join(small_side(whole.select("fp")), "fp", "left_semi")
+        tokens = whole.select(F.col("fp").alias("_of"), "tokens")
+        both = near_bits.join(tokens, F.col("fp") == F.col("_of")).drop("_of")
+        found = map_batches(placed_with(near, both), _confirmed_links(join.levels, join.percent), "a long, b long")
+        return store(found.distinct(), "crossing_links")
 
 
 def near_duplicates(
@@ -647,8 +699,8 @@ def near_duplicates(
     Equal sets are one set from the start. Two sets that are similar share a
     token among the first ``n - ceil(percent * n) + 1`` of either under any
     order of all tokens, so candidates come from buckets of prefix tokens under
-    one order, and must also share prefix tokens (as many as follow from their
-    sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
+    one order. Their signatures must allow enough common tokens, and they must also share prefix tokens (as many as
+    follow from their sizes) under two more before their whole sets are compared. All orders put tokens of crowded cells last, which
     keeps passages that many documents share out of the prefixes. Candidates
     are first each set with the hub of its size in every bucket, then, within the tasks, all pairs
     that the links found so far don't connect. Rows are written per set and bucket and per link that joins two
@@ -660,21 +712,22 @@ def near_duplicates(
     be NULL or repeated; a NULL id is never the smallest unless all are NULL.
     An empty table gives an empty result. Other columns are ignored.
     """
-    sets, links = similar_sets(df, size, percent, id_col, text_col)
-    known = components(links).select(F.col("node").alias("_node"), "component")
-    distinct = sets.where("n > 0").groupBy("fp").agg(F.min("id").alias("least"))
-    with_component = distinct.join(known, F.col("fp") == F.col("_node"), "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    with_component = store(with_component, "components")
-    least = store(
-        with_component.groupBy("component").agg(F.min("least").alias("component_id")), "least"
-    )
-    by_set = store(
-        with_component.join(least, "component").select(
-            F.col("fp").alias("_of"), F.col("component_id").alias("_component_id")
-        ), "by_set",
-    )
+    with shuffles_dropped(df.sparkSession):
+        sets, links = similar_sets(df, size, percent, id_col, text_col)
+        known = components(links).select(F.col("node").alias("_node"), "component")
+        distinct = sets.where("n > 0").groupBy("fp").agg(F.min("id").alias("least"))
+        with_component = distinct.join(known, F.col("fp") == F.col("_node"), "left").select(
+            "fp", "least", F.coalesce("component", "fp").alias("component")
+        )
+        with_component = store(with_component, "components")
+        least = store(
+            with_component.groupBy("component").agg(F.min("least").alias("component_id")), "least"
+        )
+        by_set = store(
+            with_component.join(least, "component").select(
+                F.col("fp").alias("_of"), F.col("component_id").alias("_component_id")
+            ), "by_set",
+        )
     return sets.join(by_set, F.col("fp") == F.col("_of"), "left").select(
         F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_component_id")).otherwise(F.col("id")).alias("component_id"),

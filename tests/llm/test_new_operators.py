@@ -1,17 +1,21 @@
 """Hard negatives, fill-in-the-middle and SetSketch near copies against plain computations."""
 
 import hashlib
+import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from proseledger.llm import fill_middle, hard_negatives, ngram_join, places, set_sketch
 from proseledger.llm.ngram_join import Sets
+from proseledger.sources import shared
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, _id string, n long, form string, output string, restored string, fp long"
@@ -132,6 +136,45 @@ def test_signatures_never_hide_shared_tokens():
         assert (np.frombuffer(ngram_join.signature(a, size // 2), np.uint8) == folded[0]).all()
 
 
+def test_likely_pairs_hold_every_similar_pair():
+    """By their signatures, also where the widths differ; most of the others go before any set is fetched."""
+    rng = np.random.default_rng(2)
+    rows, similar = [], []
+    for at in range(400):
+        pool = rng.integers(0, 2**64, 400, dtype=np.uint64)
+        a, b = (pool[begin:begin + rng.integers(100, 250)] for begin in (0, rng.integers(0, 60)))
+        (bits_a, bits_b), (lost_a, lost_b) = ngram_join._signed([a, b])
+        rows.append((at, 1000 + at, len(a), len(b), bits_a, bits_b, lost_a, lost_b))
+        similar.append(100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b)))
+    names = ["a", "b", "n_a", "n_b", "bits_a", "bits_b", "lost_a", "lost_b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    found = {r["a"] for out in ngram_join._likely_pairs(75)([batch]) for r in out.to_pylist()}
+    assert {at for at, x in enumerate(similar) if x} <= found
+    assert 20 < sum(similar) <= len(found) < 250
+
+
+def shuffles_left(spark, work):
+    """Shuffle files that are there after some work and were not before, once Spark has had time to remove them."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    there = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.getAllFiles().mkString(" ")))
+    before = there()
+    work()
+    for _ in range(50):
+        if not there() - before:
+            break
+        time.sleep(0.2)
+    return there() - before
+
+
+def test_near_copies_leave_no_shuffle_and_no_sets_behind(spark):
+    """While a step runs, the disk holds its own shuffles and not those of all steps before."""
+    docs = table_of(spark, near_copies(41, 12, 10))
+    assert not shuffles_left(spark, lambda: ngram_join.near_duplicates(docs))
+    folder = f"{shared.shared_folder(spark)}/proseledger/{spark.sparkContext.applicationId}"
+    assert (names := os.listdir(folder)) and not [n for n in names if n.startswith(("whole_sets", "prefixes"))]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**64, 300, dtype=np.uint64)
