@@ -175,6 +175,13 @@ def test_near_copies_leave_no_shuffle_and_no_sets_behind(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
 
 
+def test_the_stage_leaves_no_shuffle_behind(spark, tmp_path):
+    texts = near_copies(41, 12, 10)
+    rows = [(i, t, "en", "s", len(t)) for i, t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert not shuffles_left(spark, lambda: corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)))
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(0)
     a = rng.integers(0, 2**64, 300, dtype=np.uint64)
